@@ -19,6 +19,7 @@ def get_spark(cpus: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPOTLOOM_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
