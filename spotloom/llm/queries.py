@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spotloom.functions.text_keys import valid_score
-from spotloom.llm import components, heavy, postings, quantiles
+from spotloom.llm import clusters, components, heavy, packing, postings, quantiles
 from spotloom.plans.problems import SQL_GENE, sql_score, sql_sequence
 from spotloom.session import Scratch
-from spotloom.sources.tables import barcode_spots, gene_spots, once_per_spot
+from spotloom.sources.tables import barcode_spots, gene_spots, once_per_spot, table
 
 # Problem 1
 
@@ -98,6 +98,29 @@ def p4_frequencies(spark: SparkSession, folder: str) -> DataFrame:
     return _marked(spark, folder).select("field", "item", F.col("n_occurrences").alias("n_spots"), F.col("n_records").alias("n_tiles"), "mark")
 
 
+# Problem 5
+
+CYCLES, CHANNELS, COSINE, LEAST_MEMBERS, TYPICAL = 12, 4, 0.91, 5, 3
+
+
+def _clusters(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark, "p5")
+    found = clusters.clusters(table(spark, folder, "hyb_spots"), "spot_id", "trace", CYCLES, CHANNELS, COSINE, LEAST_MEMBERS, scratch)
+    return clusters.leads(found, scratch)
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _clusters(spark, folder).where("id <> lead").select(F.col("lead").alias("lead_id"), F.col("id").alias("spot_id"))
+
+
+def p5_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Each cluster's size and its most typical spots: those nearest to the common mean."""
+    c = _clusters(spark, folder)
+    first = Window.partitionBy("lead").orderBy(F.desc("cosine"), "id")
+    top = c.withColumn("place", F.row_number().over(first)).where(F.col("place") <= TYPICAL)
+    return top.select(F.col("lead").alias("lead_id"), F.col("n").alias("size"), "place", F.col("id").alias("typical_id"), F.round("cosine", 4).alias("cosine"))
+
+
 # Problem 7
 
 
@@ -122,6 +145,14 @@ def p7_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return firsts.groupBy("size").agg(F.count(F.lit(1)).alias("n_groups"))
 
 
+# Problem 8
+
+
+def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = packing.token_counts(table(spark, folder, "documents").select("doc_id", "text"), "text")
+    return packing.pack(sizes, "doc_id", "n_tokens", Scratch(spark, "p8"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_roi_percentiles": p1_roi_percentiles,
@@ -129,8 +160,11 @@ QUERIES = {
     "p3_counts": p3_counts,
     "p4_found": p4_found,
     "p4_frequencies": p4_frequencies,
+    "p5_found": p5_found,
+    "p5_clusters": p5_clusters,
     "p7_found": p7_found,
     "p7_sizes": p7_sizes,
+    "p8_containers": p8_containers,
 }
 
 
