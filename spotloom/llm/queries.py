@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spotloom.functions.text_keys import valid_score
-from spotloom.llm import clusters, components, heavy, packing, postings, quantiles
+from spotloom.llm import clusters, components, heavy, leaks, packing, postings, quantiles, subjects
 from spotloom.plans.problems import SQL_GENE, sql_score, sql_sequence
 from spotloom.session import Scratch
 from spotloom.sources.tables import barcode_spots, gene_spots, once_per_spot, table
@@ -153,6 +153,39 @@ def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(sizes, "doc_id", "n_tokens", Scratch(spark, "p8"))
 
 
+# Problem 9
+
+
+def _leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _leaks(spark, folder).select("doc_id", "item_id")
+
+
+def p9_leaked_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Each item that leaked: into how many documents, and the longest stretch."""
+    return _leaks(spark, folder).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_documents"), F.max("n_words").alias("n_words"))
+
+
+# Problem 10
+
+
+def _subjects(spark: SparkSession, folder: str) -> DataFrame:
+    t = {n: table(spark, folder, n) for n in ("documents", "subject_areas", "subject_labels")}
+    return subjects.subjects(t["documents"], t["subject_areas"], t["subject_labels"], Scratch(spark, "p10"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _subjects(spark, folder).select("doc_id", "subject_code")
+
+
+def p10_composition(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus by subject: documents that treat it, and the sum of their shares."""
+    return _subjects(spark, folder).groupBy("subject_code").agg(F.count(F.lit(1)).alias("n_documents"), F.round(F.sum("share"), 3).alias("weight"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_roi_percentiles": p1_roi_percentiles,
@@ -165,6 +198,10 @@ QUERIES = {
     "p7_found": p7_found,
     "p7_sizes": p7_sizes,
     "p8_containers": p8_containers,
+    "p9_found": p9_found,
+    "p9_leaked_items": p9_leaked_items,
+    "p10_found": p10_found,
+    "p10_composition": p10_composition,
 }
 
 
