@@ -45,19 +45,32 @@ def call_bases(spots: DataFrame, centroids: DataFrame, trace: str = "trace") ->
     return t.withColumns({"called_bases": letters(F.col("called")), "called_mean_score": mean}).drop("cube", "cos")
 
 
-def dot_product_score(trace: Column, sequence: Column, cube: Column, shift: float = 0.0) -> Column:
-    """How well a trace fits its sequence: the dot product of the observed and the expected trace over the called rounds.
+def dot_product_score(spots: DataFrame, trace: str, sequence: str, cube: str, name: str = "score", shift: float = 0.0) -> DataFrame:
+    """spots with how well a trace fits its sequence: the dot product of the observed and the expected trace over the called rounds.
 
     The observed trace loses each channel's mean over those rounds (its projection on the channel background), then both
     are scaled by their norm (the observed one plus `shift`). Null if a round of the trace is null or NaN, or none is called.
+    Each step is a column of its own, so that nothing is computed again inside a lambda.
     """
-    rounds = F.filter(F.arrays_zip(trace.alias("t"), sequence.alias("b"), cube.alias("m")), lambda z: z["b"].between(0, 3))
-    n = F.size(rounds)
-    means = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda c: F.try_divide(F.aggregate(rounds, F.lit(0.0), lambda s, z: s + F.get(z["t"], c)), n))
-    seen = F.flatten(F.transform(rounds, lambda z: F.zip_with(z["t"], means, lambda v, m: v - m)))
-    expected = F.flatten(F.transform(rounds, lambda z: F.get(z["m"], z["b"])))
-    score = F.try_divide(dot(seen, expected), (norm(seen) + F.lit(shift)) * norm(expected))
-    return F.when(~F.exists(trace, has_nan) & (n > 0), score)
+    s = spots.withColumn("_r", F.filter(F.arrays_zip(F.col(trace).alias("t"), F.col(sequence).alias("b"), F.col(cube).alias("m")), lambda z: z["b"].between(0, 3)))
+    s = s.withColumn("_m", F.transform(F.array(*map(F.lit, range(4))), lambda c: F.try_divide(F.aggregate("_r", F.lit(0.0), lambda v, z: v + F.get(z["t"], c)), F.size("_r"))))
+    s = s.withColumn("_s", F.flatten(F.transform("_r", lambda z: F.zip_with(z["t"], "_m", lambda v, m: v - m))))
+    s = s.withColumn("_e", F.flatten(F.transform("_r", lambda z: F.get(z["m"], z["b"]))))
+    score = F.try_divide(dot(F.col("_s"), F.col("_e")), (norm(F.col("_s")) + F.lit(shift)) * norm(F.col("_e")))
+    return s.withColumn(name, F.when(~F.exists(trace, has_nan) & (F.size("_r") > 0), score)).drop("_r", "_m", "_s", "_e")
+
+
+def packed(seq: Column) -> Column:
+    """Up to 15 letters of G, T, A, C, N as nibbles of a long, so that distances are bit counts; null for other strings."""
+    return F.when(seq.rlike("^[GTACN]{1,15}$"), F.conv(F.translate(seq, "GTACN", "12345"), 16, 10).cast("bigint"))
+
+
+def packed_distance(a: Column, b: Column) -> Column:
+    """Differing letters of two packed sequences of one length."""
+    x = a.bitwiseXOR(b)
+    x = x.bitwiseOR(F.shiftright(x, 1))
+    x = x.bitwiseOR(F.shiftright(x, 2))
+    return F.bit_count(x.bitwiseAND(F.lit(0x111111111111111)))
 
 
 def nearest_codeword(seqs: DataFrame, codebook: DataFrame, seq: str = "seq") -> DataFrame:
@@ -71,8 +84,12 @@ def nearest_codeword(seqs: DataFrame, codebook: DataFrame, seq: str = "seq") ->
     small = book.limit(BROADCAST_CODES + 1).count() <= BROADCAST_CODES
     side = F.broadcast(book) if small else book
     exact = d.join(side, d.s == side.seq).select("s", "gene", F.col("seq").alias("code"), F.lit(0).alias("distance"))
-    rest = d.join(side, d.s == side.seq, "left_anti").join(side.withColumn("n", F.length("seq")), F.length("s") == F.col("n"))
-    best = rest.groupBy("s").agg(F.min(F.struct(hamming(F.col("s"), F.col("seq")).alias("distance"), "ord", "seq", "gene")).alias("b"))
+    coded = book.withColumns({"n": F.length("seq"), "p2": packed(F.col("seq"))})
+    rest = d.join(side, d.s == side.seq, "left_anti").withColumn("p1", packed(F.col("s")))
+    rest = rest.join(F.broadcast(coded) if small else coded, F.length("s") == F.col("n"))
+    distance = F.when(F.col("p1").isNotNull() & F.col("p2").isNotNull(), packed_distance(F.col("p1"), F.col("p2"))).otherwise(hamming(F.col("s"), F.col("seq")))
+    near = rest.withColumn("distance", distance).groupBy("s").agg(F.min(F.struct("distance", "ord")).alias("b"))
+    best = near.join(F.broadcast(book) if small else book, F.col("b.ord") == F.col("ord")).select("s", F.struct("b.distance", "gene", "seq").alias("b"))
     return exact.unionByName(best.select("s", "b.gene", F.col("b.seq").alias("code"), F.col("b.distance").alias("distance"))).withColumnRenamed("s", seq)
 
 

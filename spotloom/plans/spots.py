@@ -35,7 +35,7 @@ def basecall_sequence(spark: SparkSession, folder: str) -> DataFrame:
 def barcode_dot_score(spark: SparkSession, folder: str) -> DataFrame:
     t = Scratch(spark, "dot").save(_traces(spark, folder))
     cube = calling.centroid_cube(calling.base_centroids(t))
-    s = t.crossJoin(F.broadcast(cube)).select("spot_id", calling.dot_product_score(F.col("trace"), F.col("sequence"), F.col("cube")).alias("s"))
+    s = calling.dot_product_score(t.crossJoin(F.broadcast(cube)), "trace", "sequence", "cube", "s")
     return s.where("s is not null").select("spot_id", F.round("s", 5).alias("score"))
 
 
