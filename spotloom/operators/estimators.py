@@ -41,9 +41,9 @@ def log_linear_factors(df: DataFrame, channel: str, round_: str, value: str, cha
 
 def unmixing(df: DataFrame, keys: list[str], signal: Column, background: Column) -> DataFrame:
     """keys, slope, intercept of signal on background; a negative slope becomes 0 and the intercept the mean signal."""
-    g = df.select(*keys, signal.alias("s"), background.alias("b")).dropna().groupBy(*keys)
-    r = g.agg(F.regr_slope("s", "b").alias("k"), F.regr_intercept("s", "b").alias("i"), F.avg("s").alias("m"))
-    return r.select(*keys, F.greatest("k", F.lit(0.0)).alias("slope"), F.when(F.col("k") < 0, F.col("m")).otherwise(F.col("i")).alias("intercept"))
+    g = df.select(*keys, signal.alias("_s"), background.alias("_b")).dropna(subset=["_s", "_b"]).groupBy(*keys)
+    r = g.agg(F.regr_slope("_s", "_b").alias("_k"), F.regr_intercept("_s", "_b").alias("_i"), F.avg("_s").alias("_m"))
+    return r.select(*keys, F.greatest("_k", F.lit(0.0)).alias("slope"), F.when(F.col("_k") < 0, F.col("_m")).otherwise(F.col("_i")).alias("intercept"))
 
 
 def unmixed(signal: Column, background: Column, slope: Column, intercept: Column, factor: float = 1.0, offset: float = 10.0) -> Column:

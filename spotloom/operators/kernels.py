@@ -161,11 +161,14 @@ def centre_surround_regions(im: np.ndarray, inner: int, outer: int, threshold: f
     return np.where(np.isin(labels, small), 0, labels)
 
 
-def phase_shift(reference: np.ndarray, target: np.ndarray, most: float | None = None) -> dict[str, float]:
-    """Shift (y, x) that moves target onto reference, from the peak of the phase correlation, and the peak's height."""
+def phase_shift(reference: np.ndarray, target: np.ndarray, most: float | None = None, whiten: bool = True) -> dict[str, float]:
+    """Shift (y, x) that moves target onto reference, from the peak of the correlation, and the peak's height.
+    Whitened, only phases count: sharp peaks, but weak where planes are smooth."""
     h, w = reference.shape
-    f = np.fft.fft2(reference - reference.mean()) * np.conj(np.fft.fft2(target - target.mean()))
-    c = np.fft.ifft2(f / np.maximum(np.abs(f), 1e-12)).real
+    a, b = reference - reference.mean(), target - target.mean()
+    f = np.fft.fft2(a) * np.conj(np.fft.fft2(b))
+    scale = np.abs(f) if whiten else np.linalg.norm(a) * np.linalg.norm(b)
+    c = np.fft.ifft2(f / np.maximum(scale, 1e-12)).real
     y, x = np.fft.fftfreq(h, 1 / h)[:, None], np.fft.fftfreq(w, 1 / w)[None, :]
     if most is not None:
         c = np.where((np.abs(y) <= most) & (np.abs(x) <= most), c, -np.inf)
@@ -222,7 +225,7 @@ def angle_and_shift(reference: np.ndarray, target: np.ndarray, reach: float = 5.
     middle, best = 0.0, {"angle": 0.0, "shift_y": 0.0, "shift_x": 0.0, "corr": -np.inf}
     for _ in range(rounds):
         for a in middle + np.linspace(-reach, reach, steps):
-            s = phase_shift(reference, warp(target, rotation(a, 0, 0, h, w), outside=target.mean()))
+            s = phase_shift(reference, warp(target, rotation(a, 0, 0, h, w), outside=target.mean()), whiten=False)
             if s["corr"] > best["corr"]:
                 best = {"angle": float(a), **s}
         middle, reach = best["angle"], reach / 5

@@ -53,7 +53,8 @@ def local_maxima(raster: DataFrame, keys: list[str], threshold: float, lo: int =
 
 def isolated(peaks: DataFrame, raster: DataFrame, keys: list[str], inner: float, outer: float, below: float) -> DataFrame:
     """Peaks whose surrounding ring has a mean below a value."""
-    ring = stencil(raster, keys, annulus(inner, outer), F.sum("value"), "ring")
+    around = annulus(inner, outer)
+    ring = stencil(raster, keys, around, F.sum("v") / len(around), "ring")
     return peaks.join(ring, [*keys, "y", "x"], "left").where(F.coalesce("ring", F.lit(0.0)) < below).drop("ring")
 
 

@@ -45,8 +45,10 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, heavy: list, how: str
     """left join right on key, where right has at most one row per key and left may be of any skew.
 
     The rows of right for heavy keys are at most len(heavy), so broadcasting them is safe at any size.
-    how: inner or left. Null keys of left stay for how = left and are never shuffled together.
+    how: inner or left. Null keys of left stay for how = left and are never shuffled together. Other columns of right
+    whose names left has too come out as right_<name>.
     """
+    right = right.withColumnsRenamed({c: f"right_{c}" for c in right.columns if c != key and c in left.columns})
     light_left = left.where(~_in(key, heavy) & F.col(key).isNotNull())
     parts = [light_left.join(right.where(~_in(key, heavy)) if heavy else right, key, how)]
     if heavy:
@@ -83,16 +85,18 @@ def per_key_summary(df: DataFrame, key: str, value: str, heavy: list | None = No
     Rows of heavy and null keys are spread over PARTS by a hash of `spread`, reduced in parts, and the parts
     merged; the rest goes through one ordinary shuffle. value must be null where there is no value.
     A null key is a group of its own; no rows give no groups.
-    Returns key, n, n_scores, mean_score, sd_score, min_score, max_score, median_score.
+    Returns key, n, n_scores, sum_score, mean_score, sd_score, min_score, max_score, median_score.
     """
     heavy = heavy_keys(df, key) if heavy is None else heavy
-    sums = _score_summaries(value, k)
+    name, key = key, "key of group"
+    df = df.select(F.col(name).alias(key), F.col(value).cast("double").alias("value"), F.col(spread).alias("spread"))
+    sums = _score_summaries("value", k)
     is_heavy = _in(key, heavy) | F.col(key).isNull()
     merged = {n: m(F.col(n)).alias(n) for n, (_, m) in sums.items()}
     aggs = [a.alias(n) for n, (a, _) in sums.items()]
     hot = (
         df.where(is_heavy)
-        .withColumn("part", F.pmod(F.xxhash64(spread), F.lit(PARTS)))
+        .withColumn("part", F.pmod(F.xxhash64("spread"), F.lit(PARTS)))
         .groupBy(key, "part")
         .agg(*aggs)
         .groupBy(key)
@@ -105,5 +109,5 @@ def per_key_summary(df: DataFrame, key: str, value: str, heavy: list | None = No
         .withColumn("mean_score", mean)
         .withColumn("sd_score", F.sqrt(F.greatest(F.lit(0.0), F.try_divide("sum_squares", "n_scores") - mean * mean)))
         .withColumn("median_score", F.when(F.col("n_scores") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.5))))
-        .select(key, "n", "n_scores", "mean_score", "sd_score", "min_score", "max_score", "median_score")
+        .select(F.col(key).alias(name), "n", "n_scores", "sum_score", "mean_score", "sd_score", "min_score", "max_score", "median_score")
     )

@@ -37,7 +37,7 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 def _summary(field: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         s = per_key_summary(_spots(spark, folder), field, "score", spread="spot_id").where(F.col(field).isNotNull())
-        return s.select(field, "n", "n_scores", F.round("mean_score", 6).alias("mean_score"), F.round("sd_score", 6).alias("sd_score"), "min_score", "max_score")
+        return s.select(field, "n", "n_scores", F.round("sum_score", 4).alias("sum_score"), F.round("sd_score", 6).alias("sd_score"), "min_score", "max_score")
 
     return run
 
@@ -85,7 +85,7 @@ _SQL_NEAR = f"""l as ({_SQL_LOCATED}), h as (select *, x // {NEAR} as cx, y // {
 
 
 def _sql_summary(field: str) -> str:
-    return f"""with s as ({_SQL_SPOTS}) select {field}, count(*) as n, count(score) as n_scores, round(avg(score), 6) as mean_score,
+    return f"""with s as ({_SQL_SPOTS}) select {field}, count(*) as n, count(score) as n_scores, round(sum(score), 4) as sum_score,
       round(stddev_pop(score), 6) as sd_score, min(score) as min_score, max(score) as max_score from s where {field} is not null group by {field}"""
 
 

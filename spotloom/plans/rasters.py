@@ -187,8 +187,8 @@ def density_zscore(spark: SparkSession, folder: str) -> DataFrame:
     s = once_per_spot(gene_spots(spark, folder), "roi", F.to_date("called_at").alias("day")).where("roi is not null and day is not null")
     daily = s.groupBy("roi", "day").agg(F.count(F.lit(1)).cast("double").alias("n"))
     w = Window.partitionBy("roi")
-    f0 = daily.withColumn("q", F.percentile("n", 0.4).over(w)).withColumn("f", (F.col("n") - F.col("q")) / F.col("q"))
-    z = (F.col("f") - F.avg("f").over(w)) / F.stddev_pop("f").over(w)
+    f0 = daily.withColumn("q", F.percentile("n", 0.4).over(w)).withColumn("f", F.try_divide(F.col("n") - F.col("q"), F.col("q")))
+    z = F.try_divide(F.col("f") - F.avg("f").over(w), F.stddev_pop("f").over(w))
     return f0.select("roi", F.col("day").cast("string").alias("day"), F.round(z, 4).alias("z"))
 
 
@@ -240,7 +240,7 @@ ORACLES = {
     "mosaic_last_wins": f"""with {_LOC}, p as (select roi, tx, ty, floor(y / {STEP})::int as y, floor(x / {STEP})::int as x, count(*) as v from l group by all)
       select roi, y, x, arg_max(v, tx * 100000 + ty) as v from p group by roi, y, x""",
     "local_max": f"with {_PEAKS} select roi, y, x, v from pk",
-    "isolated_peaks": f"with {_PEAKS}, {_sql_stencil('ring', raster.annulus(*RING), 'sum(v * w)')} select pk.roi, pk.y, pk.x, v from pk left join ring using (roi, y, x) where coalesce(s, 0) < 1.0",
+    "isolated_peaks": f"with {_PEAKS}, {_sql_stencil('ring', raster.annulus(*RING), f'sum(v) / {len(raster.annulus(*RING))}')} select pk.roi, pk.y, pk.x, v from pk left join ring using (roi, y, x) where coalesce(s, 0) < 1.0",
     "smoothed_density": f"with {_D}, {_sql_stencil('g', SPREAD, 'sum(v * w)')} select roi, y, x, round(s, 6) as s from g",
     "local_mean": f"with {_D}, {_sql_stencil('g', raster.box(-1, 1), 'round(sum(v) / 9, 6)')} select roi, y, x, s as v from g",
     "spot_trace": f"""with {_D}, {_sql_stencil('g', raster.disk(2.0), f'sum(v) / {len(raster.disk(2.0))}')}, c as (select roi, label, floor(y / {STEP})::int as y, floor(x / {STEP})::int as x from cells)
@@ -263,6 +263,6 @@ ORACLES = {
     "density_binarised": f"with {_D}, q as (select roi, quantile_cont(v, 0.9) as q from d group by roi) select roi, q, count(*) filter (where v > q) as n_above from d join q using (roi) group by roi, q",
     "density_clipped": f"with {_D}, q as (select roi, quantile_cont(v, 0.01) as lo, quantile_cont(v, 0.99) as hi from d group by roi) select roi, round(avg(case when hi <> lo then (least(greatest(v, lo), hi) - lo) / (hi - lo) end), 6) as mean_v from d join q using (roi) group by roi",
     "density_zscore": """with s as (select distinct spot_id, roi, called_at::date as day from gene_spots where spot_id is not null and roi is not null and called_at is not null), n as (select roi, day, count(*)::double as n from s group by all),
-      q as (select roi, quantile_cont(n, 0.4) as q from n group by roi), f as (select roi, day, (n - q) / q as f from n join q using (roi)), m as (select roi, avg(f) as a, stddev_pop(f) as sd from f group by roi)
-      select roi, day::varchar as day, round((f - a) / sd, 4) as z from f join m using (roi)""",
+      q as (select roi, quantile_cont(n, 0.4) as q from n group by roi), f as (select roi, day, (n - q) / nullif(q, 0) as f from n join q using (roi)), m as (select roi, avg(f) as a, stddev_pop(f) as sd from f group by roi)
+      select roi, day::varchar as day, round((f - a) / nullif(sd, 0), 4) as z from f join m using (roi)""",
 }
