@@ -27,7 +27,7 @@ LABELLED = 4000
 SHARE = 0.2
 #: Least labelled documents with a term, pseudo-count, least divergence (nats) of its subjects from the usual ones in
 #: documents and in sentences, rounds of re-estimation, usual share of stray sentences.
-LEAST, SMOOTH, IN_DOCS, IN_SENTENCES, ROUNDS, STRAY = 4, 3.0, 0.3, 0.5, 4, 0.15
+LEAST, SMOOTH, IN_DOCS, IN_SENTENCES, ROUNDS, STRAY = 2, 3.0, 0.3, 0.5, 4, 0.15
 FUNCTIONS = ("words", "phrases", "addresses", "section", "source")
 #: How often, at least, words and phrases abstain on a sentence of no subject: a telling term is seldom there by chance.
 QUIET = 0.97
