@@ -74,46 +74,31 @@ def runs(phrase: np.ndarray, start: np.ndarray, items: Items) -> Iterator[tuple[
         yield int(item[a]), int(off[a]), int(start[a]), int(z - a) + PHRASE - 1
 
 
-def reach(a: list[int], b: list[int], most: int) -> list[int]:
+def reach(a: np.ndarray, b: np.ndarray, most: int) -> list[int]:
     """For 0 to `most` changes: how many words of a can be aligned with a beginning of b, the last one unchanged."""
-    na, nb = len(a), len(b)
-
-    def run(i: int, j: int) -> int:
-        while i < na and j < nb and a[i] == b[j]:
-            i, j = i + 1, j + 1
-        return i
-
-    far, out = {0: run(0, 0)}, []
-    best = far[0]
-    out.append(best)
-    for _ in range(most):
-        nxt: dict[int, int] = {}
-        for k, i in far.items():
-            for k2, i2 in ((k, i + 1), (k + 1, i), (k - 1, i + 1)):  # replaced, added, dropped
-                if i2 <= na and 0 <= i2 + k2 <= nb and i2 > nxt.get(k2, -1):
-                    nxt[k2] = i2
-        for k, i in nxt.items():
-            j = run(i, i + k)
-            if j > i and j > best:
-                best = j
-            nxt[k] = j
-        far = nxt
-        out.append(best)
-    return out
-
-
-def longest_stretch(item: list[int], text: list[int], i: int, j: int, n: int) -> int:
+    b = b[: len(a) + most]
+    steps = np.arange(len(b) + 1)
+    row, cheapest = steps, np.full(len(a) + 1, most + 1)  # changes between a[:i] and each beginning of b
+    cheapest[0] = 0
+    for i in range(1, len(a) + 1 if len(b) else 1):
+        same = b == a[i - 1]
+        if same.any():
+            cheapest[i] = row[:-1][same].min()
+        new = np.minimum(row + 1, np.r_[i, row[:-1] + ~same])
+        row = np.minimum.accumulate(new - steps) + steps
+        if row.min() > most:
+            break
+    return [int(np.flatnonzero(cheapest <= e)[-1]) for e in range(most + 1)]
+
+
+def longest_stretch(item: np.ndarray, text: np.ndarray, i: int, j: int, n: int) -> int:
     """Words of the longest allowed stretch through the run item[i:i+n] = text[j:j+n]; 0 if none is long enough."""
-
-    def totals(most: int) -> tuple[list[int], list[int]]:
-        slack = most + 1
-        left = reach(item[:i][::-1], text[max(0, j - i - slack) : j][::-1], most)
-        return left, reach(item[i + n :], text[j + n : j + n + len(item) - i - n + slack], most)
-
-    left, right = totals(2)
+    sides = (item[:i][::-1], text[:j][::-1]), (item[i + n :], text[j + n :])
+    # three neighbouring runs of a true stretch have 17 words at least, so two changes must lead that far
+    left, right = (reach(a[:STRETCH], b, 2) for a, b in sides)
     if max(left[e] + right[2 - e] for e in range(3)) + n < STRETCH - 3:
-        return 0  # three neighbouring runs of a true stretch have 17 words at least
-    left, right = totals(len(item) // PER_CHANGE)
+        return 0
+    left, right = (reach(a, b, len(item) // PER_CHANGE) for a, b in sides)
     best = 0
     for e1, x in enumerate(left):
         for e2, y in enumerate(right):
@@ -133,7 +118,7 @@ def _search(items: Items):
                 continue
             w = len(items.words[k]) * 9 // 8 + 4
             lo, hi = max(int(bounds[d]), s - w), min(int(bounds[d + 1]), s + n + w)
-            if length := longest_stretch(items.words[k].tolist(), ids[lo:hi].tolist(), i, s - lo, n):
+            if length := longest_stretch(items.words[k], ids[lo:hi], i, s - lo, n):
                 found[d, k] = max(length, found.get((d, k), 0))
         keys = sorted(found)
         return pa.RecordBatch.from_arrays([pa.array([names[d] for d, _ in keys], pa.int64()), pa.array([items.ids[k] for _, k in keys], pa.int64()), pa.array([found[x] for x in keys], pa.int32())], names=["doc_id", "item_id", "n_words"])

@@ -21,6 +21,7 @@ from spotloom.session import Scratch
 
 #: Tokens a container holds, containers open at a time, and containers' worth of tokens per task.
 CAPACITY, OPEN, PER_TASK = 2048, 128, 8192
+COLUMNS = ("container_id", "piece", "first_unit", "n_units")
 #: Default folder of the vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -88,7 +89,7 @@ class Bins:
 
 
 def pack(sizes: DataFrame, id: str, size: str, scratch: Scratch, capacity: int = CAPACITY, most_open: int = OPEN, per_task: int = PER_TASK) -> DataFrame:
-    """(container_id, id, piece, first_unit, n_units): where each item goes.
+    """(container_id, id, piece, first_unit, n_units): where each item goes. The id keeps its name unless it is one of these.
 
     Only an item above the capacity is split: into full containers of its own, and a rest that is packed like any item.
     Items of size 0 or null take no container (container_id null, 0 units). Rows with a null or repeated id are items
@@ -120,4 +121,4 @@ def pack(sizes: DataFrame, id: str, size: str, scratch: Scratch, capacity: int =
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), b.column(0).take(pa.array(i, pa.int64())), pa.array(piece, pa.int32()), pa.array(first, pa.int64()), pa.array(n, pa.int64())], names=["container_id", "id", "piece", "first_unit", "n_units"])
 
     spread = s.withColumn("h", F.xxhash64(F.lit(3), "id", "n")).repartition(tasks, "h").sortWithinPartitions("h", "id").select("id", "n")
-    return spread.mapInArrow(run, f"container_id bigint, id {kind}, piece int, first_unit bigint, n_units bigint").withColumnRenamed("id", id)
+    return spread.mapInArrow(run, f"container_id bigint, id {kind}, piece int, first_unit bigint, n_units bigint").withColumnRenamed("id", id if id not in COLUMNS else "id")

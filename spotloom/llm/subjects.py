@@ -25,9 +25,9 @@ from spotloom.session import Scratch
 LABELLED = 4000
 #: Share of a document's sentences.
 SHARE = 0.2
-#: Least labelled documents with a term, pseudo-count, least divergence (nats) of its subjects from the usual ones in
-#: documents and in sentences, rounds of re-estimation, usual share of stray sentences.
-LEAST, SMOOTH, IN_DOCS, IN_SENTENCES, ROUNDS, STRAY = 2, 3.0, 0.3, 0.5, 4, 0.15
+#: Least labelled documents with a term, pseudo-count, least divergence of its subjects from the usual ones in documents and
+#: in sentences (as a share of the largest there can be), rounds of re-estimation, usual share of stray sentences.
+LEAST, SMOOTH, IN_DOCS, IN_SENTENCES, ROUNDS, STRAY = 2, 3.0, 0.14, 0.23, 4, 0.15
 FUNCTIONS = ("words", "phrases", "addresses", "section", "source")
 #: How often, at least, words and phrases abstain on a sentence of no subject: a telling term is seldom there by chance.
 QUIET = 0.97
@@ -81,14 +81,14 @@ class Lexicon:
 
     @staticmethod
     def told(counts: np.ndarray, usual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Smoothed shares of the subjects for rows of counts, and their divergence from the usual shares."""
+        """Smoothed shares of the subjects for rows of counts, and their divergence from the usual shares, 1 at most or so."""
         p = (counts + SMOOTH * usual) / (counts.sum(1, keepdims=True) + SMOOTH)
-        return p, (p * np.log(p / usual)).sum(1)
+        return p, (p * np.log(p / usual)).sum(1) / np.log(max(2, len(usual)))
 
     def fit(self, names: list[str], counts: np.ndarray, usual: np.ndarray, least: float) -> None:
         if names:
             p, d = self.told(counts, usual)
-            odds = np.log(p / usual) * np.minimum(1, d)[:, None]
+            odds = np.log(p / usual) * np.minimum(1, 2 * d)[:, None]
             self.odds = {names[i]: odds[i] for i in np.flatnonzero(d > least)}
 
     def score(self, terms: list[str]) -> np.ndarray | None:
@@ -223,7 +223,7 @@ def subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, scratch: Scra
     # at most (subjects + 1)^5 patterns, whatever the corpus
     patterns = voted.select(F.explode("votes").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n")).orderBy("code").collect()
     code, n = np.array([r["code"] for r in patterns], np.int64), np.array([r["n"] for r in patterns], float)
-    best = latent_model(decode(code, len(codes)), n, len(codes)).argmax(1) if len(code) and codes else np.empty(0, int)
+    best = latent_model(decode(code, len(codes)), n, len(codes)).argmax(1) if len(code) and codes else np.zeros(len(code), int)
     table = docs.sparkSession.createDataFrame([(int(c), codes[k - 1]) for c, k in zip(code, best, strict=True) if k], "code int, subject_code string")
     told = voted.select("doc_id", F.size("votes").alias("n"), F.explode("votes").alias("code")).join(F.broadcast(table), "code")
     shares = told.groupBy("doc_id", "subject_code", "n").agg((F.count(F.lit(1)) / F.col("n")).alias("share"))
