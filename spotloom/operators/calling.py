@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spotloom.functions.arrays import cosine, dot, first_argmax, hamming, has_nan, letters, norm
+from spotloom.functions.arrays import LETTERS, hamming, has_nan
 
 #: Rows up to which a codebook is broadcast; the number of codewords is checked before.
 BROADCAST_CODES = 100_000
@@ -23,41 +28,89 @@ def base_centroids(spots: DataFrame, trace: str = "trace", base: str = "sequence
     return t.groupBy("round", "base").agg(*(F.avg(F.col("t")[c]).alias(f"c{c}") for c in range(4)))
 
 
-def centroid_cube(centroids: DataFrame) -> DataFrame:
-    """One row: cube[round][base][channel]. Rounds x 4 values, whatever the number of spots."""
-    per_round = centroids.groupBy("round").agg(F.array_sort(F.collect_list(F.struct("base", F.array("c0", "c1", "c2", "c3").alias("m")))).alias("b"))
-    all_rounds = per_round.agg(F.array_sort(F.collect_list(F.struct("round", "b"))).alias("r"))
-    return all_rounds.select(F.transform("r", lambda r: F.transform(r["b"], lambda b: b["m"])).alias("cube"))
+def centroid_cube(centroids: DataFrame, rounds: int) -> np.ndarray:
+    """cube[round, base, channel] of `rounds` rounds; NaN where no base was called. Rounds x 16 values reach the driver."""
+    cube = np.full((rounds, 4, 4), np.nan)
+    for r in centroids.where(F.col("round") < rounds).collect():
+        cube[r["round"], r["base"]] = [r[f"c{k}"] for k in range(4)]
+    return cube
 
 
-def call_bases(spots: DataFrame, centroids: DataFrame, trace: str = "trace") -> DataFrame:
-    """spots with called array<int>, called_scores, called_bases and called_mean_score.
+def _matrices(column: pa.ListArray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that hold a trace of rounds x 4 values, and these traces; nulls inside are NaN."""
+    n = np.asarray(pc.fill_null(pc.list_value_length(column), -1))
+    at = np.flatnonzero(n == rounds)
+    inner = column.take(pa.array(at)).flatten()
+    width = np.asarray(pc.fill_null(pc.list_value_length(inner), -1)).reshape(len(at), rounds)
+    whole = (width == 4).all(1)
+    flat = inner.filter(pa.array(np.repeat(whole, rounds))).flatten()
+    values = np.asarray(flat.cast(pa.float64()).to_numpy(zero_copy_only=False), float).reshape(-1, rounds, 4)
+    return at[whole], values
 
-    Each round gets the base whose centroid has the largest cosine with it, the first on ties; a round that is null, NaN or
-    zero gets 4 (N) and score 0. Null traces give nulls.
-    """
-    t = spots.crossJoin(F.broadcast(centroid_cube(centroids)))
-    cos = F.zip_with(F.col(trace), F.col("cube"), lambda r, m: F.when(usable_round(r), F.transform(m, lambda b: cosine(r, b))))
-    t = t.withColumn("cos", cos)
-    t = t.withColumn("called", F.transform("cos", lambda c: F.coalesce(first_argmax(c), F.lit(4))))
-    t = t.withColumn("called_scores", F.transform("cos", lambda c: F.coalesce(F.array_max(c), F.lit(0.0))))
-    mean = F.try_divide(F.aggregate("called_scores", F.lit(0.0), lambda s, v: s + v), F.size("called_scores"))
-    return t.withColumns({"called_bases": letters(F.col("called")), "called_mean_score": mean}).drop("cube", "cos")
+
+def _mapped(spots: DataFrame, keep: list[str], columns: list[str], run, added: str) -> DataFrame:
+    head = ", ".join(f"`{c}` {spots.schema[c].dataType.simpleString()}" for c in keep)
+    return spots.select(*keep, *columns).mapInArrow(run, f"{head}, {added}")
 
 
-def dot_product_score(spots: DataFrame, trace: str, sequence: str, cube: str, name: str = "score", shift: float = 0.0) -> DataFrame:
-    """spots with how well a trace fits its sequence: the dot product of the observed and the expected trace over the called rounds.
+def call_bases(spots: DataFrame, cube: np.ndarray, keep: list[str], trace: str = "trace") -> DataFrame:
+    """keep, called array<int>, called_scores array<double>, called_bases, called_mean_score.
+
+    Each round gets the base whose centroid has the largest cosine with it, the first on ties; a round that is null, NaN or
+    zero gets 4 (N) and score 0. Traces that are null or of another shape give nulls. Traces travel in Arrow batches.
+    """
+    unit = cube / np.sqrt((cube * cube).sum(2, keepdims=True))
+    rounds, names = len(cube), np.array(list(LETTERS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, t = _matrices(b.column(len(keep)), rounds)
+            ok = np.isfinite(t).all(2) & (t != 0).any(2)
+            cos = np.einsum("nrc,rbc->nrb", np.where(ok[..., None], t, 0), np.nan_to_num(unit, nan=-1e9))
+            cos /= np.where(ok, np.sqrt((t * t).sum(2)), 1)[..., None]
+            base, score = np.where(ok, cos.argmax(2), 4), np.where(ok, cos.max(2), 0.0)
+            place = np.full(b.num_rows, -1)
+            place[at] = np.arange(len(at))
+            index = pa.array(place, mask=place < 0)
+            lists = [pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), rounds).cast(pa.list_(k)) for v, k in ((base.astype(np.int32), pa.int32()), (score, pa.float64()))]
+            text = pa.array(["".join(r) for r in names[base]], pa.string())
+            found = [*lists, text, pa.array(score.mean(1) if rounds else score[:, 0])]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), *(f.take(index) for f in found)], names=[*keep, "called", "called_scores", "called_bases", "called_mean_score"])
+
+    return _mapped(spots, keep, [trace], run, "called array<int>, called_scores array<double>, called_bases string, called_mean_score double")
+
+
+def dot_product_scores(spots: DataFrame, cube: np.ndarray, keep: list[str], trace: str = "trace", sequence: str = "sequence", shift: float = 0.0) -> DataFrame:
+    """keep, score: how well a trace fits its sequence, as the dot product of the observed and the expected trace over the called rounds.
 
     The observed trace loses each channel's mean over those rounds (its projection on the channel background), then both
-    are scaled by their norm (the observed one plus `shift`). Null if a round of the trace is null or NaN, or none is called.
-    Each step is a column of its own, so that nothing is computed again inside a lambda.
+    are scaled by their norm (the observed one plus `shift`). Null if a round of the trace is null or NaN, none is called, the
+    shapes differ, or nothing is left of the trace.
     """
-    s = spots.withColumn("_r", F.filter(F.arrays_zip(F.col(trace).alias("t"), F.col(sequence).alias("b"), F.col(cube).alias("m")), lambda z: z["b"].between(0, 3)))
-    s = s.withColumn("_m", F.transform(F.array(*map(F.lit, range(4))), lambda c: F.try_divide(F.aggregate("_r", F.lit(0.0), lambda v, z: v + F.get(z["t"], c)), F.size("_r"))))
-    s = s.withColumn("_s", F.flatten(F.transform("_r", lambda z: F.zip_with(z["t"], "_m", lambda v, m: v - m))))
-    s = s.withColumn("_e", F.flatten(F.transform("_r", lambda z: F.get(z["m"], z["b"]))))
-    score = F.try_divide(dot(F.col("_s"), F.col("_e")), (norm(F.col("_s")) + F.lit(shift)) * norm(F.col("_e")))
-    return s.withColumn(name, F.when(~F.exists(trace, has_nan) & (F.size("_r") > 0), score)).drop("_r", "_m", "_s", "_e")
+    rounds = len(cube)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = len(keep)
+            at, t = _matrices(b.column(n), rounds)
+            seq = b.column(n + 1)
+            same = np.asarray(pc.fill_null(pc.list_value_length(seq), -1))[at] == rounds
+            at, t = at[same], t[same]
+            base = np.asarray(pc.fill_null(seq.take(pa.array(at)).flatten(), 4)).reshape(-1, rounds)
+            called = (base >= 0) & (base < 4)
+            k = called.sum(1)
+            with np.errstate(all="ignore"):
+                mean = np.where(called[..., None], t, 0).sum(1) / k[:, None]
+                seen = np.where(called[..., None], t - mean[:, None], 0)
+                expected = np.where(called[..., None], cube[np.arange(rounds), np.where(called, base, 0)], 0)
+                size = np.sqrt((seen * seen).sum((1, 2))) + shift
+                score = (seen * expected).sum((1, 2)) / (size * np.sqrt((expected * expected).sum((1, 2))))
+            good = np.isfinite(t).all((1, 2)) & (k > 0) & np.isfinite(score)
+            out = np.full(b.num_rows, np.nan)
+            out[at[good]] = score[good]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), pa.array(out, mask=np.isnan(out))], names=[*keep, "score"])
+
+    return _mapped(spots, keep, [trace, sequence], run, "score double")
 
 
 def packed(seq: Column) -> Column:
@@ -85,11 +138,22 @@ def nearest_codeword(seqs: DataFrame, codebook: DataFrame, seq: str = "seq") ->
     side = F.broadcast(book) if small else book
     exact = d.join(side, d.s == side.seq).select("s", "gene", F.col("seq").alias("code"), F.lit(0).alias("distance"))
     coded = book.withColumns({"n": F.length("seq"), "p2": packed(F.col("seq"))})
-    rest = d.join(side, d.s == side.seq, "left_anti").withColumn("p1", packed(F.col("s")))
-    rest = rest.join(F.broadcast(coded) if small else coded, F.length("s") == F.col("n"))
-    distance = F.when(F.col("p1").isNotNull() & F.col("p2").isNotNull(), packed_distance(F.col("p1"), F.col("p2"))).otherwise(hamming(F.col("s"), F.col("seq")))
-    near = rest.withColumn("distance", distance).groupBy("s").agg(F.min(F.struct("distance", "ord")).alias("b"))
-    best = near.join(F.broadcast(book) if small else book, F.col("b.ord") == F.col("ord")).select("s", F.struct("b.distance", "gene", "seq").alias("b"))
+    # each row costs a pass over the codebook: spread the few bytes of sequences over all cores
+    cores = seqs.sparkSession.sparkContext.defaultParallelism
+    rest = d.join(side, d.s == side.seq, "left_anti").repartition(2 * cores, "s").withColumn("p1", packed(F.col("s")))
+    coded = F.broadcast(coded) if small else coded
+    same = F.length("s") == F.col("n")
+
+    def keyed(pairs: DataFrame, distance: Column) -> DataFrame:
+        """Distance and order in one long, so that the minimum is a hash aggregate."""
+        return pairs.select("s", (F.shiftleft(distance.cast("bigint"), 32) + F.col("ord")).alias("key"))
+
+    # pairs of packed sequences stay in generated code; the few with other letters or more of them are compared letter by letter
+    bits = keyed(rest.where("p1 is not null").join(coded.where("p2 is not null"), same), packed_distance(F.col("p1"), F.col("p2")))
+    other = rest.join(coded, same & (F.col("p1").isNull() | F.col("p2").isNull()))
+    near = bits.unionByName(keyed(other, hamming(F.col("s"), F.col("seq")))).groupBy("s").agg(F.min("key").alias("best"))
+    near = near.select("s", F.shiftright("best", 32).cast("int").alias("distance"), F.col("best").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("o"))
+    best = near.join(F.broadcast(book) if small else book, F.col("o") == F.col("ord")).select("s", F.struct("distance", "gene", "seq").alias("b"))
     return exact.unionByName(best.select("s", "b.gene", F.col("b.seq").alias("code"), F.col("b.distance").alias("distance"))).withColumnRenamed("s", seq)
 
 

@@ -19,9 +19,23 @@ from pyspark.sql import functions as F
 def planes_from_pixels(pixels: DataFrame, keys: list[str], h: int, w: int) -> DataFrame:
     """keys, h, w, v: pixels (keys, y, x, v) of a tile as one row; absent ones are 0. A plane has at most h x w pixels."""
     inside = pixels.where((F.col("y") >= 0) & (F.col("y") < h) & (F.col("x") >= 0) & (F.col("x") < w))
-    at = F.map_from_entries(F.collect_list(F.struct((F.col("y") * w + F.col("x")).cast("int").alias("k"), F.col("v").cast("double").alias("v"))))
-    g = inside.groupBy(*keys, "y", "x").agg(F.sum("v").alias("v")).groupBy(*keys).agg(at.alias("m"))
-    return g.select(*keys, F.lit(h).alias("h"), F.lit(w).alias("w"), F.transform(F.sequence(F.lit(0), F.lit(h * w - 1)), lambda k: F.coalesce(F.try_element_at("m", k), F.lit(0.0))).alias("v"))
+    g = inside.groupBy(*keys, (F.col("y") * w + F.col("x")).cast("int").alias("_k")).agg(F.sum("v").cast("double").alias("_v"))
+    g = g.groupBy(*keys).agg(F.collect_list(F.struct("_k", "_v")).alias("_p")).select(*keys, F.col("_p._k").alias("_k"), F.col("_p._v").alias("_v"))
+    head = ", ".join(f"`{k}` {pixels.schema[k].dataType.simpleString()}" for k in keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = len(keys)
+            for i in range(0, b.num_rows, 64):  # dense planes, some at a time
+                part = b.slice(i, 64)
+                size = part.num_rows
+                k, v = part.column(n), part.column(n + 1)
+                dense = np.zeros((size, h * w))
+                dense[np.repeat(np.arange(size), np.asarray(k.value_lengths())), np.asarray(k.flatten())] = np.asarray(v.flatten())
+                planes = pa.FixedSizeListArray.from_arrays(pa.array(dense.ravel()), h * w).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in range(n)), pa.array([h] * size, pa.int32()), pa.array([w] * size, pa.int32()), planes], names=[*keys, "h", "w", "v"])
+
+    return g.mapInArrow(run, f"{head}, h int, w int, v array<double>")
 
 
 def pixels_from_planes(planes: DataFrame, keys: list[str]) -> DataFrame:

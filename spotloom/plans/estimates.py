@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from spotloom.functions.arrays import has_nan
 from spotloom.operators import estimators as est
-from spotloom.operators.calling import base_centroids
+from spotloom.operators.calling import base_centroids, centroid_cube
 from spotloom.session import Scratch
 from spotloom.sources.tables import barcode_spots, codebook, once_per_spot, table
 
@@ -77,9 +77,7 @@ def gmm_cells(spark: SparkSession, folder: str) -> DataFrame:
 def omp_decode(spark: SparkSession, folder: str) -> DataFrame:
     """Genes in the first seven rounds of each barcode trace by sparse pursuit over the codebook's templates."""
     t = Scratch(spark, "omp").save(once_per_spot(barcode_spots(spark, folder).where("trace is not null and sequence is not null"), "trace", "sequence"))
-    cube = np.zeros((CODE_ROUNDS, 4, 4))
-    for r in base_centroids(t).where(F.col("round") < CODE_ROUNDS).collect():
-        cube[r["round"], r["base"]] = [r[f"c{k}"] for k in range(4)]
+    cube = np.nan_to_num(centroid_cube(base_centroids(t), CODE_ROUNDS))
     book = codebook(spark, folder).where(f"gene is not null and length(seq) = {CODE_ROUNDS}").orderBy("ord").collect()
     genes = est.gene_templates(cube, [b["seq"] for b in book])
     flat = t.select("spot_id", F.flatten(F.slice("trace", 1, CODE_ROUNDS)).alias("v"))

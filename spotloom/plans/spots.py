@@ -15,6 +15,7 @@ from spotloom.sources.tables import barcode_spots, codebook, gene_spots, once_pe
 
 TILE = ["roi", "tx", "ty"]
 GENE_SCORE, HYB_SCORE, CODE_LENGTH, MIN_COUNTS = 0.1, 0.8, 7, 10
+ROUNDS = 16
 
 
 def _traces(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,15 +29,14 @@ def base_centroids(spark: SparkSession, folder: str) -> DataFrame:
 
 def basecall_sequence(spark: SparkSession, folder: str) -> DataFrame:
     t = Scratch(spark, "basecall").save(_traces(spark, folder))
-    called = calling.call_bases(t, calling.base_centroids(t))
-    return called.select("spot_id", F.col("called_bases").alias("bases"), F.round("called_mean_score", 5).alias("mean_score"))
+    called = calling.call_bases(t, calling.centroid_cube(calling.base_centroids(t), ROUNDS), ["spot_id"])
+    return called.where("called is not null").select("spot_id", F.col("called_bases").alias("bases"), F.round("called_mean_score", 5).alias("mean_score"))
 
 
 def barcode_dot_score(spark: SparkSession, folder: str) -> DataFrame:
     t = Scratch(spark, "dot").save(_traces(spark, folder))
-    cube = calling.centroid_cube(calling.base_centroids(t))
-    s = calling.dot_product_score(t.crossJoin(F.broadcast(cube)), "trace", "sequence", "cube", "s")
-    return s.where("s is not null").select("spot_id", F.round("s", 5).alias("score"))
+    s = calling.dot_product_scores(t, calling.centroid_cube(calling.base_centroids(t), ROUNDS), ["spot_id"])
+    return s.where("score is not null").select("spot_id", F.round("score", 5).alias("score"))
 
 
 def trace_normalised(spark: SparkSession, folder: str) -> DataFrame:
