@@ -9,6 +9,7 @@ at least a share of its sentences most probably treat.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -37,7 +38,7 @@ _HEADING = regex.compile(r"^\s*#+\s*(.*)$")
 _END = regex.compile(r"(?<=[.?!…])[\"'»”)]*\s+")
 _COMPLETE = regex.compile(r"[.?!…][\"'»”)\s]*$")
 _ANSWER = regex.compile(r"^(?:a:|the ones? )")
-_NAME = regex.compile(r"[^\W\d_]+")
+_NAME = re.compile(r"[^\W\d_]+")
 _ADDRESS = regex.compile(r"(?:https?://|www\.)[^\s/]+|[\w.+-]+@[\w-]+\.[\w.-]+|(?:/[\w.-]+){2,}")
 
 
@@ -70,7 +71,7 @@ def sentences(text: str | None) -> list[tuple[str, str]]:
 def features(sentence: str) -> tuple[list[str], list[str], list[str]]:
     """Words, phrases of two words, addresses."""
     w = _NAME.findall(sentence)
-    return list(dict.fromkeys(w)), list(dict.fromkeys(f"{a} {b}" for a, b in pairwise(w))), _ADDRESS.findall(sentence)
+    return list(dict.fromkeys(w)), list(dict.fromkeys(f"{a} {b}" for a, b in pairwise(w))), _ADDRESS.findall(sentence) if "/" in sentence or "@" in sentence or "www." in sentence else []
 
 
 class Lexicon:
@@ -93,7 +94,7 @@ class Lexicon:
 
     def score(self, terms: list[str]) -> np.ndarray | None:
         hits = [self.odds[t] for t in terms if t in self.odds]
-        return np.sum(hits, axis=0) if hits else None
+        return sum(hits[1:], hits[0]) if hits else None
 
 
 def _counted(rows: list[tuple[list[str], np.ndarray]], subjects: int) -> tuple[list[str], np.ndarray, np.ndarray]:
