@@ -80,7 +80,7 @@ def _tile_frequencies(spark: SparkSession, folder: str) -> DataFrame:
         spots = once_per_spot(read(spark, folder), F.col(field).alias("item"), *postings.tile_bucket())
         tiles = spots.where("bucket is not null").select("bucket", "pos").distinct().agg(F.count(F.lit(1)).alias("total"))
         f = postings.frequencies(postings.layout(spots.withColumn("field", F.lit(field)), ["field", "item"]), ["field", "item"])
-        f = f.crossJoin(F.broadcast(tiles))
+        f = f.withColumn("total", tiles.scalar())
         out = f if out is None else out.unionByName(f)
     return out
 
