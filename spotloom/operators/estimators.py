@@ -56,8 +56,8 @@ def filtered_pixels(df: DataFrame, signal: str, background: str, top: float = 40
     median of what is left and below `ratio` times the background. The two medians follow one another."""
     s, b = F.col(signal), F.col(background)
     d = df.where((s > 0) & (s < top) & (b > 0) & (b < top))
-    d = d.crossJoin(F.broadcast(d.agg(F.median(background).alias("_mb")))).where(b > F.col("_mb")).drop("_mb")
-    d = d.crossJoin(F.broadcast(d.agg(F.median(signal).alias("_ms")))).where(s > F.col("_ms")).drop("_ms")
+    d = d.where(b > d.agg(F.median(background)).scalar())
+    d = d.where(s > d.agg(F.median(signal)).scalar())
     return d.where(s < ratio * b)
 
 

@@ -171,7 +171,7 @@ def area_acronym(spark: SparkSession, folder: str) -> DataFrame:
 def density_binarised(spark: SparkSession, folder: str) -> DataFrame:
     d = _density(spark, folder)
     q = d.groupBy("roi").agg(F.percentile("v", 0.9).alias("q"))
-    return d.join(F.broadcast(q), "roi").groupBy("roi", "q").agg(F.count_if(F.col("v") > F.col("q")).alias("n_above"))
+    return d.join(q, "roi").groupBy("roi", "q").agg(F.count_if(F.col("v") > F.col("q")).alias("n_above"))
 
 
 def density_clipped(spark: SparkSession, folder: str) -> DataFrame:
@@ -179,7 +179,7 @@ def density_clipped(spark: SparkSession, folder: str) -> DataFrame:
     d = _density(spark, folder)
     q = d.groupBy("roi").agg(F.percentile("v", 0.01).alias("lo"), F.percentile("v", 0.99).alias("hi"))
     v = F.try_divide(F.least(F.greatest("v", "lo"), "hi") - F.col("lo"), F.col("hi") - F.col("lo"))
-    return d.join(F.broadcast(q), "roi").groupBy("roi").agg(F.round(F.avg(v), 6).alias("mean_v"))
+    return d.join(q, "roi").groupBy("roi").agg(F.round(F.avg(v), 6).alias("mean_v"))
 
 
 def density_zscore(spark: SparkSession, folder: str) -> DataFrame:
