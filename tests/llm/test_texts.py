@@ -94,6 +94,34 @@ def test_links_equal_exact_similarity(spark):
     assert got == {(a, b) for a in names for b in names if a < b and jaccard(a, b) >= 0.8}
 
 
+def test_crowded_bands_connect_the_same_patterns(spark):
+    rng = random.Random(7)
+    names = set()
+    for base in ("bcdefgijkmbc", "ffggiijjkkmm"):
+        for _ in range(150):
+            p = list(base)
+            for _ in range(rng.randrange(1, 4)):
+                p[rng.randrange(12)] = rng.choice("abcdefgijkm")
+            names.add("".join(p))
+    df = spark.createDataFrame([(n, rng.randrange(9)) for n in sorted(names)], "pattern string, n bigint")
+
+    def groups(crowd):
+        parent = {n: n for n in names}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        pairs = [(r["a"], r["b"]) for r in clusters.links(df, 12, 4, crowd=crowd).collect()]
+        for a, b in pairs:
+            parent[find(a)] = find(b)
+        return sorted(sorted(n for n in names if find(n) == r) for r in names if parent[r] == r), len(pairs)
+
+    (whole, n_whole), (crowded, n_crowded) = groups(10_000), groups(3)
+    assert whole == crowded and n_crowded <= n_whole
+
+
 def test_no_traces_give_no_clusters(spark):
     df = spark.createDataFrame([], "spot_id bigint, trace array<array<double>>")
     assert clusters.clusters(df, "spot_id", "trace", 12, 4, 0.91, 5, Scratch(spark, "t")).count() == 0
