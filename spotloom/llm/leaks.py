@@ -93,15 +93,12 @@ def reach(a: np.ndarray, b: np.ndarray, most: int) -> list[int]:
 
 def longest_stretch(item: np.ndarray, text: np.ndarray, i: int, j: int, n: int) -> int:
     """Words of the longest allowed stretch through the run item[i:i+n] = text[j:j+n]; 0 if none is long enough."""
-    # three neighbouring runs of a true stretch have 17 words at least, so two changes must lead that far; before that is
-    # aligned, 15 of these words must be there at all
+    # halving a stretch keeps a part of 20 to 39 words with at most one change in eight, so with 4 at most; near a run of that
+    # part 15 of its words must be there at all, wherever the changes are
     near = set(text[max(0, j - STRETCH - 2) : j + n + STRETCH + 2].tolist())
     if sum(x in near for x in item[max(0, i - STRETCH) : i + n + STRETCH].tolist()) < STRETCH - 5:
         return 0
     sides = (item[:i][::-1], text[:j][::-1]), (item[i + n :], text[j + n :])
-    left, right = (reach(a[:STRETCH], b, 2) for a, b in sides)
-    if max(left[e] + right[2 - e] for e in range(3)) + n < STRETCH - 3:
-        return 0
     left, right = (reach(a, b, len(item) // PER_CHANGE) for a, b in sides)
     best = 0
     for e1, x in enumerate(left):

@@ -174,6 +174,27 @@ def test_leaks_equal_the_planted_ones(spark):
     assert leaks.leaks(d.limit(0), q).count() == 0 and leaks.leaks(d, q.limit(0)).count() == 0
 
 
+def test_adjacent_changes_do_not_hide_a_stretch(spark):
+    """Runs of 16 words or fewer with 2, 3 and 4 adjacent words replaced, dropped or added between them."""
+    shapes = [(16, 3, 16), (16, 4, 16), (11, 1, 4, 2, 10), (8, 1, 8, 2, 8)]
+    items, docs, want = [], [], {}
+    for shape in shapes:
+        for kind in ("replaced", "dropped", "added"):
+            k, item, text = len(items), [], []
+            for at, n in enumerate(shape):
+                new = [f"i{k}p{at}n{m}" for m in range(n)]
+                if at % 2 == 0 or kind != "added":
+                    item += new
+                if at % 2 == 0 or kind != "dropped":
+                    text += new if at % 2 == 0 else [f"{x}other" for x in new]
+            assert sum(shape[1::2]) * 8 <= len(item)
+            items.append((k, " ".join(item)))
+            docs.append((k, "before it " + " ".join(text) + " after it"))
+            want[k, k] = len(item)
+    d, q = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]): r["n_words"] for r in leaks.leaks(d, q).collect()} == want
+
+
 def test_reach_equals_edit_distance():
     rng = random.Random(3)
     for _ in range(200):
