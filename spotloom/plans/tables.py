@@ -110,9 +110,11 @@ def radial_spot_shape(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cells_per_tile(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells of each tile: a row per roi and tile row, a column per tile column (0 to 7, and whichever else has cells)."""
     c = table(spark, folder, "cells").withColumns({"ty": F.floor(F.col("y") / 1800).cast("int"), "tx": F.floor(F.col("x") / 1800).cast("int")})
-    wide = c.groupBy("roi", "ty").pivot("tx", list(range(8))).count()
-    return wide.fillna(0).withColumnsRenamed({str(k): f"tx_{k}" for k in range(8)})
+    columns = sorted({*range(8), *(r["tx"] for r in c.select("tx").where("tx is not null").distinct().collect())})
+    wide = c.groupBy("roi", "ty").pivot("tx", columns).count()
+    return wide.fillna(0).withColumnsRenamed({str(k): f"tx_{k}" for k in columns})
 
 
 def cdf_difference(spark: SparkSession, folder: str) -> DataFrame:
