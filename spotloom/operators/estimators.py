@@ -6,7 +6,7 @@ within one small group (tiles of a roi, one pixel's pursuit) runs in Arrow batch
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -131,6 +131,18 @@ def spherical_kmeans(df: DataFrame, vector: str, start: np.ndarray, least_score:
     return c, counts
 
 
+def log_likelihoods(x: np.ndarray, w: np.ndarray, mu: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log likelihood of each row under a mixture, and the responsibilities of its components."""
+    logp = np.empty((len(x), len(w)))
+    for i in range(len(w)):
+        low = np.linalg.cholesky(cov[i])
+        z = np.linalg.solve(low, (x - mu[i]).T)
+        logp[:, i] = np.log(w[i] + 1e-300) - (z * z).sum(0) / 2 - np.log(np.diag(low)).sum() - x.shape[1] / 2 * np.log(2 * np.pi)
+    top = logp.max(1, keepdims=True)
+    like = top[:, 0] + np.log(np.exp(logp - top).sum(1))
+    return like, np.exp(logp - like[:, None])
+
+
 def gaussian_mixture(x: np.ndarray, means: np.ndarray, rounds: int = 200, tol: float = 1e-6) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """EM from given means: weights, means, covariances and responsibilities (full covariances, ridge 1e-6)."""
     k, d = means.shape
@@ -138,14 +150,7 @@ def gaussian_mixture(x: np.ndarray, means: np.ndarray, rounds: int = 200, tol: f
     cov = np.stack([np.cov(x.T).reshape(d, d) + 1e-6 * np.eye(d)] * k)
     last, resp = -np.inf, np.zeros((len(x), k))
     for _ in range(rounds):
-        logp = np.empty((len(x), k))
-        for i in range(k):
-            low = np.linalg.cholesky(cov[i])
-            z = np.linalg.solve(low, (x - mu[i]).T)
-            logp[:, i] = np.log(w[i] + 1e-300) - (z * z).sum(0) / 2 - np.log(np.diag(low)).sum() - d / 2 * np.log(2 * np.pi)
-        top = logp.max(1, keepdims=True)
-        like = top[:, 0] + np.log(np.exp(logp - top).sum(1))
-        resp = np.exp(logp - like[:, None])
+        like, resp = log_likelihoods(x, w, mu, cov)
         n = resp.sum(0) + 1e-12
         w, mu = n / n.sum(), resp.T @ x / n[:, None]
         for i in range(k):
@@ -157,6 +162,36 @@ def gaussian_mixture(x: np.ndarray, means: np.ndarray, rounds: int = 200, tol: f
     return w, mu, cov, resp
 
 
+def mixture_of_rows(df: DataFrame, vector: str, means: np.ndarray, rounds: int = 200, tol: float = 1e-6) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """gaussian_mixture over all rows of a vector column, without the responsibilities. Per round each task sums weighted moments
+    around the means of the round before, and the entries are added by Spark."""
+    k, d = means.shape
+    n, _, whole = second_moments(df, vector, d)
+    w, mu = np.full(k, 1 / k), means.astype(float).copy()
+    cov = np.stack([whole * n / max(n - 1, 1) + 1e-6 * np.eye(d)] * k)
+    last = -np.inf
+
+    def sums(w: np.ndarray, mu: np.ndarray, cov: np.ndarray):
+        def of(x: np.ndarray) -> np.ndarray:
+            like, resp = log_likelihoods(x, w, mu, cov)
+            z = x[:, None] - mu
+            return np.r_[len(x), like.sum(), resp.sum(0), np.einsum("nk,nki->ki", resp, z).ravel(), np.einsum("nk,nki,nkj->kij", resp, z, z).ravel()]
+
+        return of
+
+    for _ in range(rounds):
+        every = _summed(df, vector, d, sums(w, mu, cov), 2 + k * (1 + d + d * d))
+        like, n = every[1] / max(every[0], 1), every[2 : 2 + k] + 1e-12
+        step = every[2 + k : 2 + k + k * d].reshape(k, d) / n[:, None]
+        square = every[2 + k + k * d :].reshape(k, d, d) / n[:, None, None]
+        w, mu = n / n.sum(), mu + step
+        cov = square - step[:, :, None] * step[:, None] + 1e-6 * np.eye(d)
+        if like - last < tol:
+            break
+        last = like
+    return w, mu, cov
+
+
 def gene_templates(centroids: np.ndarray, codes: list[str]) -> np.ndarray:
     """Unit vectors: the centroid (rounds x 4 bases x channels) of each letter of a code, one after another."""
     rows = [np.concatenate([centroids[r, "GTAC".index(b)] for r, b in enumerate(code)]) for code in codes]
@@ -232,23 +267,27 @@ def decode_pixels(df: DataFrame, keys: list[str], vector: str, names: list[str],
     return df.select(*keys, vector).mapInArrow(run, f"{head}, gene string, coefficient double")
 
 
-def second_moments(df: DataFrame, vector: str, dims: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """n, mean and covariance of a vector column: each task sums its own matrix, and the entries are added by Spark.
-    Vectors that are null, of another length or not finite are left out."""
+def _summed(df: DataFrame, vector: str, dims: int, sums: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """What sums gives for the rows of a vector column, added over all batches: each task adds its own, and the entries are added by
+    Spark. Vectors that are null, of another length or not finite are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, s, m = 0, np.zeros(dims), np.zeros((dims, dims))
+        every = np.zeros(size)
         for b in batches:
             x = np.array([v for v in b.column(0).to_pylist() if v is not None and len(v) == dims and None not in v], float).reshape(-1, dims)
-            x = x[np.isfinite(x).all(1)]
-            n, s, m = n + len(x), s + x.sum(0), m + x.T @ x
-        every = np.r_[n, s, m.ravel()]
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(every), dtype=np.int32)), pa.array(every)], names=["cell", "v"])
+            every += sums(x[np.isfinite(x).all(1)])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(every)], names=["cell", "v"])
 
     cells = df.select(vector).mapInArrow(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v"))
-    every = np.zeros(1 + dims + dims * dims)
+    every = np.zeros(size)
     for r in cells.collect():
         every[r["cell"]] = r["v"]
+    return every
+
+
+def second_moments(df: DataFrame, vector: str, dims: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """n, mean and covariance of a vector column, over its whole and finite vectors."""
+    every = _summed(df, vector, dims, lambda x: np.r_[len(x), x.sum(0), (x.T @ x).ravel()], 1 + dims + dims * dims)
     n = int(every[0])
     mean = every[1 : dims + 1] / max(n, 1)
     return n, mean, every[dims + 1 :].reshape(dims, dims) / max(n, 1) - np.outer(mean, mean)

@@ -59,11 +59,11 @@ def scaled_kmeans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gmm_cells(spark: SparkSession, folder: str) -> DataFrame:
-    """Cells in three size and shape classes, by a mixture that starts at quantiles. Fitted on moments of a bounded sample
-    of rows (4000, by hash), applied to every cell."""
+    """Cells in three size and shape classes, by a mixture that starts at quantiles; both are taken over all cells."""
     c = table(spark, folder, "cells").select("roi", "label", F.ln(F.col("area") + 1.0).alias("a"), ((F.col("xmax") - F.col("xmin")) / (F.col("ymax") - F.col("ymin"))).alias("e")).dropna()
-    sample = np.array([(r["a"], r["e"]) for r in c.orderBy(F.xxhash64("roi", "label"), "roi", "label").limit(4000).collect()])
-    w, mu, cov, _ = est.gaussian_mixture(sample, np.quantile(sample, [0.1, 0.5, 0.9], axis=0))
+    shapes = Scratch(spark, "mixture").save(c.select("a", "e", F.array("a", "e").alias("v")))
+    (q,) = shapes.agg(*(F.percentile(x, F.array(*map(F.lit, (0.1, 0.5, 0.9)))).alias(x) for x in ("a", "e"))).collect()
+    w, mu, cov = est.mixture_of_rows(shapes, "v", np.array([q["a"], q["e"]]).T)
 
     def log_density(i: int):
         inv, det = np.linalg.inv(cov[i]), np.linalg.det(cov[i])

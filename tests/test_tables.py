@@ -1,6 +1,9 @@
-"""Queries of tables on planted tables that go beyond the given ones."""
+"""Queries on planted tables that go beyond the given ones."""
 
-from spotloom.plans import tables
+import numpy as np
+
+from spotloom.operators import estimators as est
+from spotloom.plans import estimates, tables
 
 
 def test_cells_of_all_tile_columns_are_counted(spark, tmp_path):
@@ -11,3 +14,17 @@ def test_cells_of_all_tile_columns_are_counted(spark, tmp_path):
     assert columns == [f"tx_{k}" for k in (*range(9), 74)]
     got = {(r["roi"], r["ty"]): {c: r[c] for c in columns if r[c]} for r in df.collect()}
     assert got == {(1, 0): {"tx_0": 1, "tx_7": 1, "tx_8": 1}, (1, 1): {"tx_74": 1}, (2, 0): {"tx_8": 2}}
+
+
+def test_the_mixture_is_fitted_on_all_cells(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    kind = rng.choice(3, 9000, p=[0.3, 0.5, 0.2])
+    area = np.exp(rng.normal(np.array([4.0, 5.5, 6.5])[kind], 0.45)).astype(int)
+    width = 10 + rng.integers(0, 10, 9000) + 6 * kind
+    rows = [(1, i, int(a), 0, 0, 20, int(b)) for i, (a, b) in enumerate(zip(area, width, strict=True))]
+    spark.createDataFrame(rows, "roi int, label int, area bigint, ymin int, xmin int, ymax int, xmax int").repartition(5).write.parquet(str(tmp_path / "cells.parquet"))
+    x = np.c_[np.log(area + 1.0), width / 20]
+    w, mu, cov, _ = est.gaussian_mixture(x, np.quantile(x, [0.1, 0.5, 0.9], axis=0))
+    want = np.bincount(est.log_likelihoods(x, w, mu, cov)[1].argmax(1), minlength=3)
+    got = {r["component"]: r["n"] for r in estimates.gmm_cells(spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate(want.tolist()))
