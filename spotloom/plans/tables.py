@@ -131,6 +131,12 @@ def natural_order(spark: SparkSession, folder: str) -> DataFrame:
     return g.orderBy(*prj.natural_key(F.col("gene"))).limit(100)
 
 
+def all_genes_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Every gene by its number, then by name."""
+    g = gene_spots(spark, folder).select("gene").where("gene is not null").distinct()
+    return g.orderBy(*prj.natural_key(F.col("gene")))
+
+
 def set_operations(spark: SparkSession, folder: str) -> DataFrame:
     """Tiles by the sets they are in: genes, barcodes or both."""
     g, b = (read(spark, folder).where("spot_score > 0.6 and spot_score <= 1").select("roi", "tx", "ty") for read in (gene_spots, barcode_spots))
@@ -146,7 +152,7 @@ def daily_steps(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     camera_order, flipped_density, preferred_scores, bad_traces, cell_shapes, density_colours, plane_pairs, atlas_lookup, remove_deleted_labels, keep_cells, semi_cells,
-    parameter_grid, black_level, mean_spot_shape, radial_spot_shape, cells_per_tile, cdf_difference, natural_order, set_operations, daily_steps,
+    parameter_grid, black_level, mean_spot_shape, radial_spot_shape, cells_per_tile, cdf_difference, natural_order, all_genes_in_order, set_operations, daily_steps,
 )}
 
 _D, _T, _PEAKS = rasters._D, rasters._T, rasters._PEAKS
@@ -180,6 +186,7 @@ ORACLES = {
       a as (select v, sum(n) as n from f group by v), g as (select v, sum(n) over (order by v) / (select sum(n) from a) as grand from a), o as (select roi, v, sum(n) over (partition by roi order by v) / sum(n) over (partition by roi) as cdf from f)
       select roi, v, round(cdf - grand, 5) as difference from o join g using (v)""",
     "natural_order": f"with g as (select distinct {SQL_GENE} as gene from gene_spots) select gene from g where gene is not null order by coalesce(nullif(regexp_extract(gene, '[0-9]+'), '')::bigint, -1), gene limit 100",
+    "all_genes_in_order": f"with g as (select distinct {SQL_GENE} as gene from gene_spots) select gene from g where gene is not null order by coalesce(nullif(regexp_extract(gene, '[0-9]+'), '')::bigint, -1), gene",
     "set_operations": f"""with {_HIGH.format(g=0.6, b=0.6)}, p as (select 'both' as part, * from (select * from g intersect select * from b) union all select 'genes', * from (select * from g except select * from b)
       union all select 'barcodes', * from (select * from b except select * from g) union all select 'any', * from (select * from g union select * from b)) select part, roi, count(*) as n from p group by part, roi""",
     "daily_steps": "with d as (select event_type, ts::date::varchar as day, count(*) as n from events group by 1, 2) select event_type, day, n, lead(n) over (partition by event_type order by day) - n as step from d",

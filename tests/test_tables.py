@@ -1,5 +1,7 @@
 """Queries on planted tables that go beyond the given ones."""
 
+import re
+
 import numpy as np
 
 from spotloom.operators import estimators as est
@@ -28,3 +30,15 @@ def test_the_mixture_is_fitted_on_all_cells(spark, tmp_path):
     want = np.bincount(est.log_likelihoods(x, w, mu, cov)[1].argmax(1), minlength=3)
     got = {r["component"]: r["n"] for r in estimates.gmm_cells(spark, str(tmp_path)).collect()}
     assert got == dict(enumerate(want.tolist()))
+
+
+def test_all_genes_are_in_natural_order(spark, small):
+    got = [r["gene"] for r in tables.all_genes_in_order(spark, small).collect()]
+    first = [r["gene"] for r in tables.natural_order(spark, small).collect()]
+    assert len(got) == 104 and len(set(got)) == 104 and got[:100] == first
+
+    def key(gene):
+        number = re.search(r"\d+", gene)
+        return int(number[0]) if number else -1, gene
+
+    assert got == sorted(got, key=key)
