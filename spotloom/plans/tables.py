@@ -12,6 +12,7 @@ from spotloom.operators import raster
 from spotloom.operators.spatial import located
 from spotloom.plans import rasters
 from spotloom.plans.problems import SQL_GENE, sql_score
+from spotloom.session import Scratch
 from spotloom.sources.tables import barcode_spots, gene_spots, once_per_spot, table
 
 CAMERA, GRID = [3, 1, 4, 2], {"spot_score": [0.1, 0.3, 0.5], "dot_product_score": [0.2, 0.4, 0.6]}
@@ -118,8 +119,11 @@ def cells_per_tile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cdf_difference(spark: SparkSession, folder: str) -> DataFrame:
-    """Cumulative shares of pixel values per roi less those of all rois."""
-    h = raster.histogram(rasters._density(spark, folder), ["roi"], "v", top=20).where("v <= 20")
+    """Cumulative shares of pixel values per roi less those of all rois, for every value from 0 to 20 or the largest there is."""
+    own = Scratch(spark, "cdf").save(raster.histogram(rasters._density(spark, folder), ["roi"], "v"))
+    largest = max(20, own.agg(F.max("v").alias("v")).collect()[0]["v"] or 0)
+    values = own.select("roi").distinct().withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(largest))))
+    h = values.join(own, ["roi", "v"], "left").fillna(0, ["n"])
     one = raster.cumulative(h, ["roi"]).select("roi", "v", "cdf")
     every = raster.cumulative(h.groupBy("v").agg(F.sum("n").alias("n")), []).select("v", F.col("cdf").alias("grand"))
     return one.join(F.broadcast(every), "v").select("roi", "v", F.round(F.col("cdf") - F.col("grand"), 5).alias("difference"))

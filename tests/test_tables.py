@@ -42,3 +42,13 @@ def test_all_genes_are_in_natural_order(spark, small):
         return int(number[0]) if number else -1, gene
 
     assert got == sorted(got, key=key)
+
+
+def test_dense_pixels_stay_in_the_cdf(spark, tmp_path):
+    spots = [(1, 50.0, 50.0)] * 30 + [(1, 150.0 + 100 * k, 50.0) for k in range(3)] + [(2, 50.0, 50.0)]
+    rows = [(i, "a", roi, x, y) for i, (roi, x, y) in enumerate(spots)]
+    spark.createDataFrame(rows, "spot_id bigint, gene string, roi int, x double, y double").write.parquet(str(tmp_path / "gene_spots.parquet"))
+    got = {(r["roi"], r["v"]): r["difference"] for r in tables.cdf_difference(spark, str(tmp_path)).collect()}
+    cdf = {1: lambda v: (3 * (v >= 1) + (v >= 30)) / 4, 2: lambda v: (v >= 1) / 1}
+    every = lambda v: (4 * (v >= 1) + (v >= 30)) / 5
+    assert got == {(roi, v): round(cdf[roi](v) - every(v), 5) for roi in (1, 2) for v in range(31)}
