@@ -4,7 +4,8 @@ A record is a matrix of cycles by channels. Its set has one element per cycle: t
 half of the cycle's brightest. Records of one set are one class; all pairwise work is between classes, so copies
 cost nothing. MinHash bands propose pairs of classes, their exact Jaccard similarity decides, connected components
 of the links form groups, and groups that are not tight around their mean are split around medoids: classes with
-more linked records than any linked class. Last, each record's cosine with its group's mean is checked.
+more linked records than any linked class. Each record's cosine with its group's mean is checked; records that are
+trimmed by that are grouped anew, until no group of them is left.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ SIMILAR, BANDS, ROWS = 0.8, 32, 6
 CROWD = 64
 #: Share of a cycle's brightest channel from which a channel counts as bright.
 BRIGHT = 0.5
-#: Rounds of splitting and of trimming after which what is still loose is left out of the clusters.
+#: Rounds of splitting after which what is still loose is trimmed.
 TURNS = 12
 
 
@@ -155,11 +156,11 @@ def _split(loose: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame
     return medoids.select("u", F.col("u").alias("root")).unionByName(joined.select("u", F.col("m.v").alias("root"))).groupBy("u").agg(F.max("root").alias("root"))
 
 
-def clusters(df: DataFrame, id: str, trace: str, cycles: int, channels: int, cosine: float, least: int, scratch: Scratch) -> DataFrame:
-    """(id, root, n, cosine) for the members of clusters: at least `least` records that each have at least `cosine`
-    with their common mean. Null, all-zero and misshapen traces belong to none; repeated ids count once."""
+def _grouped(vecs: DataFrame, cycles: int, channels: int, cosine: float, least: int, scratch: Scratch, alone: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The members of tight groups, and the rows that are left of loose ones (None where no group was loose).
+
+    alone: each class is a group of its own, and all other rows are left."""
     dims = cycles * channels
-    vecs = scratch.save(vectors(df, id, trace, cycles, channels))
     seed = 0
     while True:
         classes = scratch.save(vecs.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).withColumn("u", F.xxhash64(F.lit(seed), "pattern")))
@@ -167,12 +168,15 @@ def clusters(df: DataFrame, id: str, trace: str, cycles: int, channels: int, cos
             break
         seed += 1
     h = lambda c: F.xxhash64(F.lit(seed), c)
-    linked = scratch.save(links(classes, cycles, channels, scratch=scratch).select(h("a").alias("u"), h("b").alias("v")))
-    roots = classes.join(components(linked, scratch), "u", "left").select("u", "pattern", F.coalesce("root", "u").alias("root"), F.col("n").alias("n"))
+    if alone:
+        roots = classes.select("u", F.col("u").alias("root"), "n")
+    else:
+        linked = scratch.save(links(classes, cycles, channels, scratch=scratch).select(h("a").alias("u"), h("b").alias("v")))
+        roots = classes.join(components(linked, scratch), "u", "left").select("u", "pattern", F.coalesce("root", "u").alias("root"), F.col("n").alias("n"))
     rows = vecs.select("id", "unit", h("pattern").alias("u"))
-    done, turn = None, 0
+    done, suspects, turn = None, vecs, 0
     while True:
-        last = turn >= TURNS
+        last = turn >= TURNS or alone
         roots = scratch.save(roots.select("u", "root", "n"))
         measured = _with_cosine(_placed(rows, roots), dims, least, scratch)
         loose = measured.where(F.col("cosine") < cosine).select("root").distinct()
@@ -180,7 +184,11 @@ def clusters(df: DataFrame, id: str, trace: str, cycles: int, channels: int, cos
         done = tight if done is None else done.unionByName(tight)
         loose = scratch.save(loose)
         if loose.limit(1).count() == 0:
-            return done
+            if turn == 0 and not alone:
+                return done, None
+            break
+        if turn == 0 and not alone:
+            suspects = vecs.join(measured.join(loose, "root", "left_semi").select("id"), "id", "left_semi")
         if last:
             break
         # whole groups that are loose are split; what does not change by that is trimmed below
@@ -193,13 +201,35 @@ def clusters(df: DataFrame, id: str, trace: str, cycles: int, channels: int, cos
         rest = components(rest.select("u", "v"), scratch, seed=turn + 11).select("u", F.col("root").alias("part"))
         roots = kept.join(rest, "u", "left").select("u", F.coalesce("new", "part", "u").alias("root"), "n")
         turn += 1
-    rows = measured.join(loose, "root", "left_semi").select("id", "root", "unit", "cosine")
-    for _ in range(TURNS):
+    rows = measured.join(loose, "root", "left_semi").select("id", "root", "n", "unit", "cosine")
+    while rows.where(F.col("cosine") < cosine).limit(1).count() > 0:  # each time there are fewer rows
         rows = _with_cosine(rows.where(F.col("cosine") >= cosine).select("id", "root", "unit"), dims, least, scratch)
-        if rows.where(F.col("cosine") < cosine).limit(1).count() == 0:
-            break
-    bad = rows.where(F.col("cosine") < cosine).select("root").distinct()
-    return done.unionByName(rows.join(bad, "root", "left_anti").select("id", "root", "n", "cosine"))
+    done = scratch.save(done.unionByName(rows.select("id", "root", "n", "cosine")))
+    return done, scratch.save(suspects.join(done.select("id"), "id", "left_anti"))
+
+
+def clusters(df: DataFrame, id: str, trace: str, cycles: int, channels: int, cosine: float, least: int, scratch: Scratch) -> DataFrame:
+    """(id, root, n, cosine) for the members of clusters: at least `least` records that each have at least `cosine`
+    with their common mean. Null, all-zero and misshapen traces belong to none; repeated ids count once.
+
+    What is trimmed from loose groups is grouped again, like a new input. Where that gives nothing more, single classes are
+    tried, until these give nothing either."""
+    left: DataFrame | None = scratch.save(vectors(df, id, trace, cycles, channels))
+    done, turn, alone = None, 0, False
+    while left is not None:
+        found, left = _grouped(left, cycles, channels, cosine, least, scratch, alone)
+        if done is None:
+            done = found
+        else:
+            done = done.unionByName(found.withColumn("root", F.xxhash64(F.lit(turn), "root")))  # a class can be a root in several turns
+        if left is not None and found.limit(1).count() == 0:
+            if alone:
+                break
+            alone = True
+        else:
+            alone = False
+        turn += 1
+    return done
 
 
 def _placed(rows: DataFrame, roots: DataFrame) -> DataFrame:

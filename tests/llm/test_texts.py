@@ -74,6 +74,32 @@ def test_loose_groups_are_split(spark):
         assert len(m) >= 5 and min(unit[i] @ mean for i in m) / np.linalg.norm(mean) >= 0.91 - 1e-9
 
 
+def _linked_but_apart(heavy, light, bright):
+    """Two patterns that are linked, as they differ in one cycle, but not alike, as that cycle is the brightest."""
+    rng = np.random.default_rng(9)
+    rows, truth = [], [set(), set()]
+    for k, n in enumerate((heavy, light)):
+        pattern = np.zeros((12, 4))
+        pattern[:, 0] = 1
+        pattern[5] = [bright, 0, 0, 0] if k == 0 else [0, 0, bright, 0]
+        for _ in range(n):
+            truth[k].add(len(rows))
+            rows.append((len(rows), ((pattern + rng.normal(0, 0.02, (12, 4))) * 100).tolist()))
+    return rows, truth
+
+
+def test_trimmed_records_are_grouped_again(spark):
+    for heavy, light, bright in ((40, 8, 2), (30, 30, 8)):
+        rows, truth = _linked_but_apart(heavy, light, bright)
+        df = spark.createDataFrame(rows, "spot_id bigint, trace array<array<double>>")
+        s = Scratch(spark, "t")
+        by = {}
+        for r in clusters.leads(clusters.clusters(df, "spot_id", "trace", 12, 4, 0.91, 5, s), s).collect():
+            assert r["cosine"] >= 0.91
+            by.setdefault(r["lead"], set()).add(r["id"])
+        assert sorted(map(sorted, by.values())) == sorted(map(sorted, truth))
+
+
 def test_links_equal_exact_similarity(spark):
     rng = random.Random(6)
     base = ["".join(rng.choice("bcdefgijkm") for _ in range(12)) for _ in range(15)]
