@@ -129,19 +129,22 @@ def packed_distance(a: Column, b: Column) -> Column:
 def nearest_codeword(seqs: DataFrame, codebook: DataFrame, seq: str = "seq") -> DataFrame:
     """seq, gene, code, distance for each distinct sequence: the codeword of least Hamming distance, the first in `ord` on ties.
 
-    Exact matches take an equi-join; only distinct sequences without one meet all codewords of their length (broadcast
-    after a check of its size, otherwise joined on length by shuffle). Nulls and lengths without a codeword give no row.
+    Exact matches take an equi-join; only distinct sequences without one meet all codewords of their length. The codewords are
+    broadcast, above BROADCAST_CODES of them in parts of about that many, one after another. Nulls and lengths without a codeword
+    give no row.
     """
     d = seqs.select(F.col(seq).alias("s")).where("s is not null").distinct()
     book = codebook.where("seq is not null").groupBy("seq").agg(F.min_by("gene", "ord").alias("gene"), F.min("ord").alias("ord"))
-    small = book.limit(BROADCAST_CODES + 1).count() <= BROADCAST_CODES
+    n_book = book.count()
+    small = n_book <= BROADCAST_CODES
     side = F.broadcast(book) if small else book
     exact = d.join(side, d.s == side.seq).select("s", "gene", F.col("seq").alias("code"), F.lit(0).alias("distance"))
     coded = book.withColumns({"n": F.length("seq"), "p2": packed(F.col("seq"))})
     # each row costs a pass over the codebook: spread the few bytes of sequences over all cores
     cores = seqs.sparkSession.sparkContext.defaultParallelism
     rest = d.join(side, d.s == side.seq, "left_anti").repartition(2 * cores, "s").withColumn("p1", packed(F.col("s")))
-    coded = F.broadcast(coded) if small else coded
+    n_parts = -(-n_book // BROADCAST_CODES)
+    parts = [F.broadcast(coded if n_parts == 1 else coded.where(F.pmod(F.xxhash64("seq"), F.lit(n_parts)) == k)) for k in range(max(1, n_parts))]
     same = F.length("s") == F.col("n")
 
     def keyed(pairs: DataFrame, distance: Column) -> DataFrame:
@@ -149,9 +152,13 @@ def nearest_codeword(seqs: DataFrame, codebook: DataFrame, seq: str = "seq") ->
         return pairs.select("s", (F.shiftleft(distance.cast("bigint"), 32) + F.col("ord")).alias("key"))
 
     # pairs of packed sequences stay in generated code; the few with other letters or more of them are compared letter by letter
-    bits = keyed(rest.where("p1 is not null").join(coded.where("p2 is not null"), same), packed_distance(F.col("p1"), F.col("p2")))
-    other = rest.join(coded, same & (F.col("p1").isNull() | F.col("p2").isNull()))
-    near = bits.unionByName(keyed(other, hamming(F.col("s"), F.col("seq")))).groupBy("s").agg(F.min("key").alias("best"))
+    near = None
+    for part in parts:
+        bits = keyed(rest.where("p1 is not null").join(part.where("p2 is not null"), same), packed_distance(F.col("p1"), F.col("p2")))
+        other = rest.join(part, same & (F.col("p1").isNull() | F.col("p2").isNull()))
+        met = bits.unionByName(keyed(other, hamming(F.col("s"), F.col("seq"))))
+        near = met if near is None else near.unionByName(met)
+    near = near.groupBy("s").agg(F.min("key").alias("best"))
     near = near.select("s", F.shiftright("best", 32).cast("int").alias("distance"), F.col("best").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("o"))
     best = near.join(F.broadcast(book) if small else book, F.col("o") == F.col("ord")).select("s", F.struct("distance", "gene", "seq").alias("b"))
     return exact.unionByName(best.select("s", "b.gene", F.col("b.seq").alias("code"), F.col("b.distance").alias("distance"))).withColumnRenamed("s", seq)
@@ -163,6 +170,6 @@ def normalised_traces(spots: DataFrame, id: str, trace: str = "trace") -> DataFr
     long = t.select(F.posexplode("t").alias("round", "v"))
     means = long.groupBy("round").agg(*(F.avg(F.col("v")[c]).alias(f"c{c}") for c in range(4)))
     cube = means.agg(F.array_sort(F.collect_list(F.struct("round", F.array("c0", "c1", "c2", "c3").alias("m")))).alias("r")).select(F.transform("r", lambda r: r["m"]).alias("means"))
-    n = t.crossJoin(F.broadcast(cube))
+    n = t.withColumn("means", cube.scalar())
     dark = F.exists("t", lambda r: ~F.exists(r, lambda v: v != 0))
     return n.select(id, F.when(~dark, F.zip_with("t", "means", lambda r, m: F.zip_with(r, m, lambda v, x: F.try_divide(v, x)))).alias("trace"))

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spotloom.session import Scratch
+
 
 def count_spots(spots: DataFrame, mask: list[str], item: str) -> DataFrame:
     """mask, item, n: rows with a null key are dropped, mask 0 (background) is kept like any other."""
     return spots.dropna(subset=[*mask, item]).groupBy(*mask, item).agg(F.count(F.lit(1)).alias("n"))
 
 
-def pivot_counts(counts: DataFrame, mask: list[str], item: str, items: list) -> DataFrame:
-    """One column per item, 0 where there is none. The items are named, so no pass looks for them."""
-    wide = counts.groupBy(*mask).pivot(item, items).agg(F.sum("n"))
-    return wide.fillna(0, subset=[str(i) for i in items])
+def pivot_counts(counts: DataFrame, mask: list[str], item: str, items: list, other: str) -> DataFrame:
+    """One column per named item, 0 where there is none, and one for all items that are not named. No pass looks for items."""
+    aggs = [F.coalesce(F.sum(F.when(F.col(item) == i, F.col("n"))), F.lit(0)).alias(str(i)) for i in items]
+    return counts.groupBy(*mask).agg(*aggs, F.coalesce(F.sum(F.when(~F.col(item).isin(items), F.col("n"))), F.lit(0)).alias(other))
 
 
 def fuse_counts(first: DataFrame, second: DataFrame, mask: list[str], item: str) -> DataFrame:
@@ -44,14 +46,16 @@ def log_normalised(counts: DataFrame, mask: list[str], to: float, least: int) ->
     return c.withColumn("value", F.log1p(F.col("n") * to / F.col("total"))).drop("total")
 
 
-def ordinal_ids(df: DataFrame, key: str, name: str = "ordinal") -> DataFrame:
+def ordinal_ids(df: DataFrame, key: str, name: str = "ordinal", scratch: Scratch | None = None) -> DataFrame:
     """Distinct keys numbered from 0 in their order, without a global window: ranges are numbered locally, then shifted.
 
-    The number of ranges is the number of shuffle partitions, so the table of offsets is small at any size.
+    The number of ranges is the number of shuffle partitions, so the table of offsets is small at any size. The ranges come from
+    a sample, which another run of the stage might draw differently; so the numbered keys are written before they are counted.
     """
     d = df.select(key).where(F.col(key).isNotNull()).distinct().repartitionByRange(key).sortWithinPartitions(key)
     # one place per partition: the 33 low bits of the increasing id count rows, the high bits the partition
-    d = d.withColumn("m", F.monotonically_increasing_id()).withColumns({"p": F.shiftrightunsigned("m", 33), "i": F.col("m").bitwiseAND(F.lit((1 << 33) - 1))})
+    scratch = scratch or Scratch(df.sparkSession, "ordinals")
+    d = scratch.save(d.withColumn("m", F.monotonically_increasing_id())).withColumns({"p": F.shiftrightunsigned("m", 33), "i": F.col("m").bitwiseAND(F.lit((1 << 33) - 1))})
     sizes = d.groupBy("p").agg(F.count(F.lit(1)).alias("c"))
     before = sizes.withColumn("before", F.coalesce(F.sum("c").over(Window.partitionBy(F.lit(0)).orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return d.join(F.broadcast(before.select("p", "before")), "p").select(key, (F.col("before") + F.col("i")).alias(name))

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,13 +52,51 @@ def unmixed(signal: Column, background: Column, slope: Column, intercept: Column
     return F.greatest(F.lit(0.0), signal - slope * background * factor - intercept * factor + offset)
 
 
+def order_statistic(rows: DataFrame, k: int, few: int = 50_000, sketch: int = 4096) -> float:
+    """The k-th smallest (from 0) of the column v, which holds neither null nor NaN: a quantile sketch narrows the open range that holds
+    it to a few hundredths per pass, until at most `few` values lie in it; only these reach the driver."""
+    lo, hi, steps = float("-inf"), float("inf"), 128
+    v = F.col("v")
+    while True:
+        inside = (v > lo) & (v < hi)
+        q = F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double(F.when(inside, v), F.lit(sketch)), F.array(*(F.lit(i / steps) for i in range(steps + 1))))
+        (r,) = rows.agg(F.count_if(v <= lo).alias("below"), F.count_if(inside).alias("held"), F.when(F.count_if(inside) > 0, q).alias("q")).collect()
+        if not r["below"] <= k < r["below"] + r["held"]:
+            return lo if k < r["below"] else hi
+        if r["held"] <= few:
+            return float(np.sort([x["v"] for x in rows.where(inside).collect()])[k - r["below"]])
+        at = (k - r["below"]) / r["held"] * steps
+        a, z = r["q"][max(0, int(at) - 2)], r["q"][min(steps, int(at) + 3)]
+        (c,) = rows.agg(*(F.count_if(t).alias(n) for n, t in (("lt_a", v < a), ("le_a", v <= a), ("lt_z", v < z), ("le_z", v <= z)))).collect()
+        if c["lt_a"] <= k < c["le_a"]:
+            return a
+        if c["lt_z"] <= k < c["le_z"]:
+            return z
+        lo, hi = (lo, a) if k < c["lt_a"] else (z, hi) if k >= c["le_z"] else (a, z)  # either way an end is left out, so this ends
+
+
+def exact_median(df: DataFrame, value: str, few: int = 50_000) -> float | None:
+    """The median of a column over all rows (mean of the middle two), without gathering its values in one task. Null and NaN are no
+    values; a column without values gives None."""
+    v = F.col(value).cast("double")
+    rows = df.select(v.alias("v")).where(v.isNotNull() & ~F.isnan(v))
+    n = rows.count()
+    if not n:
+        return None
+    low = order_statistic(rows, (n - 1) // 2, few)
+    if n % 2:
+        return low
+    (r,) = rows.agg(F.count_if(F.col("v") <= low).alias("upto"), F.min(F.when(F.col("v") > low, F.col("v"))).alias("next")).collect()
+    return (low + (low if r["upto"] > n // 2 else r["next"])) / 2
+
+
 def filtered_pixels(df: DataFrame, signal: str, background: str, top: float = 4090.0, ratio: float = 20.0) -> DataFrame:
     """Pixels fit for unmixing: unsaturated and positive, then background above its median, then signal above the
     median of what is left and below `ratio` times the background. The two medians follow one another."""
     s, b = F.col(signal), F.col(background)
     d = df.where((s > 0) & (s < top) & (b > 0) & (b < top))
-    d = d.where(b > d.agg(F.median(background)).scalar())
-    d = d.where(s > d.agg(F.median(signal)).scalar())
+    d = d.where(b > F.lit(exact_median(d, background)))
+    d = d.where(s > F.lit(exact_median(d, signal)))
     return d.where(s < ratio * b)
 
 
@@ -241,28 +280,64 @@ def pursue(y: np.ndarray, genes: np.ndarray, background: np.ndarray, *, tol: flo
     return out[b:], out[:b], rest
 
 
-def decode_pixels(df: DataFrame, keys: list[str], vector: str, names: list[str], genes: np.ndarray, background: np.ndarray, least_intensity: float = 0.0, **options) -> DataFrame:
+def pursue_many(y: np.ndarray, genes: np.ndarray, background: np.ndarray, *, tol: float = 0.2, alpha: float = 200.0, beta2: float = 1.0, shift: float = 0.0, most: int = 12, refit: bool = True) -> np.ndarray:
+    """Gene coefficients of `pursue` for many pixels at once (pixels x genes): all pixels that still go on have chosen the same number of
+    components, so each step is one stack of normal equations. Where these are singular, the pixel is solved by itself."""
+    size = np.linalg.norm(y, axis=1)
+    out = np.zeros((len(y), len(genes)))
+    on = np.flatnonzero(size)
+    y = y[on] / (size[on, None] + shift)
+    every, b = np.vstack([background, genes]), len(background)
+    coef = y @ np.linalg.pinv(background) if b else np.zeros((len(on), 0))
+    base = np.zeros_like(y) if refit else coef @ background
+    chosen, picked, rest = np.tile(np.arange(b), (len(on), 1)), coef, y - coef @ background
+    while len(on) and chosen.shape[1] < min(most, len(every)):
+        w2 = 1 / (beta2 + alpha * np.einsum("nkd,nk->nd", every[chosen] ** 2, picked**2))
+        w2 /= w2.mean(1, keepdims=True)
+        score = np.abs((rest * w2) @ every.T)
+        np.put_along_axis(score, chosen, -1, 1)
+        best = score.argmax(1)
+        go = score[np.arange(len(on)), best] >= tol
+        at = np.flatnonzero(~go)
+        if len(at) and chosen.shape[1] > b:
+            out[on[at, None], chosen[at, b:] - b] = picked[at, b:]
+        on, y, base, coef, w2 = on[go], y[go], base[go], coef[go], w2[go]
+        chosen = np.c_[chosen[go], best[go]]
+        use = every[chosen if refit else chosen[:, b:]]
+        weighted = use * w2[:, None]
+        left, right = weighted @ use.transpose(0, 2, 1), np.einsum("nkd,nd->nk", weighted, y - base)
+        fit = np.empty_like(right)
+        firm = np.linalg.cond(left) < 1e10 if len(on) else np.zeros(0, bool)
+        fit[firm] = np.linalg.solve(left[firm], right[firm][..., None])[..., 0]
+        for i in np.flatnonzero(~firm):
+            w = np.sqrt(w2[i])
+            fit[i] = np.linalg.lstsq((use[i] * w).T, (y[i] - base[i]) * w, rcond=None)[0]
+        picked = fit if refit else np.c_[coef, fit]
+        rest = y - base - np.einsum("nk,nkd->nd", fit, use)
+    if len(on) and chosen.shape[1] > b:
+        out[on[:, None], chosen[:, b:] - b] = picked[:, b:]
+    return out
+
+
+def decode_pixels(df: DataFrame, keys: list[str], vector: str, names: list[str], genes: np.ndarray, background: np.ndarray, least_intensity: float = 0.0, at_once: int = 2048, **options) -> DataFrame:
     """keys, gene, coefficient for the non-zero coefficients of each pixel; dim pixels (mean |v| not above
-    least_intensity), and null, short or NaN vectors give no row. The dictionary has the size of the codebook and goes with the tasks."""
+    least_intensity), and null, short or NaN vectors give no row. The dictionary has the size of the codebook and goes with the tasks;
+    pixels are pursued at_once of them together."""
     head = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-    n = len(keys)
+    n, dims, titles = len(keys), genes.shape[1], np.array(names, object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows, gene, coef = [], [], []
-            for i, v in enumerate(b.column(n).to_pylist()):
-                if v is None or len(v) != genes.shape[1]:
-                    continue
-                y = np.array(v, float)
-                if not np.isfinite(y).all() or np.abs(y).mean() <= least_intensity:
-                    continue
-                c = pursue(y, genes, background, **options)[0]
-                for g in np.flatnonzero(c):
-                    rows.append(i)
-                    gene.append(names[g])
-                    coef.append(c[g])
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(i).take(at) for i in range(n)), pa.array(gene, pa.string()), pa.array(coef, pa.float64())], names=[*keys, "gene", "coefficient"])
+        for whole in batches:
+            for first in range(0, whole.num_rows, at_once):
+                b = whole.slice(first, at_once)
+                v = b.column(n)
+                right = np.flatnonzero(np.asarray(pc.fill_null(pc.list_value_length(v), -1)) == dims)
+                y = np.asarray(v.take(pa.array(right)).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False), float).reshape(-1, dims)
+                good = np.isfinite(y).all(1) & (np.abs(y).mean(1) > least_intensity) if len(y) else np.zeros(0, bool)
+                c = pursue_many(y[good], genes, background, **options)
+                row, gene = np.nonzero(c)
+                at = pa.array(right[good][row])
+                yield pa.RecordBatch.from_arrays([*(b.column(i).take(at) for i in range(n)), pa.array(titles[gene].tolist(), pa.string()), pa.array(c[row, gene])], names=[*keys, "gene", "coefficient"])
 
     return df.select(*keys, vector).mapInArrow(run, f"{head}, gene string, coefficient double")
 

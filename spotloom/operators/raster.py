@@ -51,17 +51,27 @@ def local_maxima(raster: DataFrame, keys: list[str], threshold: float, lo: int =
     return raster.where(F.col("v") > threshold).join(top, [*keys, "y", "x"]).where(F.col("v") + 1e-6 > F.col("top")).drop("top")
 
 
+def seen_from(points: DataFrame, raster: DataFrame, keys: list[str], offsets: Iterable[Offset], *aggs: Column) -> DataFrame:
+    """keys, y, x and aggs over the pixels (v, and the offset's weight w) at (y + dy, x + dx) of the distinct points: the work follows the
+    points and not the raster. Points that see no pixel give no row."""
+    steps = F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(float(w)).alias("w")) for dy, dx, w in offsets))
+    at = points.select(*keys, "y", "x").distinct().withColumn("o", F.explode(steps))
+    at = at.select(*keys, F.col("y").alias("y0"), F.col("x").alias("x0"), (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"), F.col("o.w").alias("w"))
+    met = at.join(raster.select(*keys, "y", "x", "v"), [*keys, "y", "x"])
+    return met.groupBy(*keys, "y0", "x0").agg(*aggs).withColumnsRenamed({"y0": "y", "x0": "x"})
+
+
 def isolated(peaks: DataFrame, raster: DataFrame, keys: list[str], inner: float, outer: float, below: float) -> DataFrame:
     """Peaks whose surrounding ring has a mean below a value."""
     around = annulus(inner, outer)
-    ring = stencil(raster, keys, around, F.sum("v") / len(around), "ring")
+    ring = seen_from(peaks, raster, keys, around, (F.sum("v") / len(around)).alias("ring"))
     return peaks.join(ring, [*keys, "y", "x"], "left").where(F.coalesce("ring", F.lit(0.0)) < below).drop("ring")
 
 
 def disk_means(spots: DataFrame, raster: DataFrame, keys: list[str], radius: float, name: str = "mean") -> DataFrame:
     """spots (keys, y, x, ...) with the mean over a disk around them."""
     around = disk(radius)
-    means = stencil(raster, keys, around, F.sum("v") / len(around), name)
+    means = seen_from(spots, raster, keys, around, (F.sum("v") / len(around)).alias(name))
     return spots.join(means, [*keys, "y", "x"], "left").fillna(0.0, [name])
 
 
@@ -69,10 +79,10 @@ def shape_score(spots: DataFrame, raster: DataFrame, keys: list[str], template:
     """spots with score, pos_pixels, neg_pixels: pixels that have the sign of the template's (weights +1, -1), positive ones
     weighted by rho. A negative pixel counts where the raster is at most 0, absent pixels included."""
     n_pos, n_neg = sum(w > 0 for *_, w in template), sum(w < 0 for *_, w in template)
-    signs = stencil(raster.where("v > 0"), keys, template, F.struct(F.sum(F.when(F.col("value") > 0, 1).otherwise(0)).alias("p"), F.sum(F.when(F.col("value") < 0, 1).otherwise(0)).alias("q")), "s")
+    signs = seen_from(spots, raster.where("v > 0"), keys, template, F.count_if(F.col("w") > 0).alias("p"), F.count_if(F.col("w") < 0).alias("q"))
     j = spots.join(signs, [*keys, "y", "x"], "left")
-    pos, neg = F.coalesce("s.p", F.lit(0)), n_neg - F.coalesce("s.q", F.lit(0))
-    return j.withColumns({"score": (neg + rho * pos) / (n_neg + rho * n_pos), "pos_pixels": pos / n_pos, "neg_pixels": neg / n_neg}).drop("s")
+    pos, neg = F.coalesce("p", F.lit(0)), n_neg - F.coalesce("q", F.lit(0))
+    return j.withColumns({"score": (neg + rho * pos) / (n_neg + rho * n_pos), "pos_pixels": pos / n_pos, "neg_pixels": neg / n_neg}).drop("p", "q")
 
 
 def radial_mean(window: DataFrame, keys: list[str]) -> DataFrame:
@@ -144,7 +154,7 @@ def edge_labels(labels: DataFrame, keys: list[str], border: int) -> DataFrame:
     """keys, label of the labels that touch a border of an image (least to greatest pixel of its keys)."""
     lim = labels.groupBy(*keys).agg(F.min("y").alias("y0"), F.max("y").alias("y1"), F.min("x").alias("x0"), F.max("x").alias("x1"))
     near = (F.col("y") < F.col("y0") + border) | (F.col("y") > F.col("y1") - border) | (F.col("x") < F.col("x0") + border) | (F.col("x") > F.col("x1") - border)
-    return labels.where("label <> 0").join(F.broadcast(lim) if not keys else lim, keys).where(near).select(*keys, "label").distinct()
+    return labels.where("label <> 0").join(lim, keys or None).where(near).select(*keys, "label").distinct()
 
 
 def rasterise_boxes(boxes: DataFrame, keys: list[str], label: str, step: int) -> DataFrame:
@@ -163,7 +173,7 @@ def lookup(spots: DataFrame, raster: DataFrame, keys: list[str], step: float, co
 
 def flat_field(pixels: DataFrame, flat: DataFrame, black: DataFrame, on: list[str]) -> DataFrame:
     """(v - black) / flat by pixel and channel; images that are all zero stay zero."""
-    j = pixels.join(flat.withColumnRenamed("v", "flat"), on, "left").join(F.broadcast(black.withColumnRenamed("v", "black")), "c", "left")
+    j = pixels.join(flat.withColumnRenamed("v", "flat"), on, "left").join(black.withColumnRenamed("v", "black"), "c", "left")
     return j.withColumn("v", F.when(F.col("v") == 0, 0.0).otherwise(F.try_divide(F.col("v") - F.coalesce("black", F.lit(0.0)), F.coalesce("flat", F.lit(1.0))))).drop("flat", "black")
 
 

@@ -1,7 +1,7 @@
 """Per-key results and joins where a few keys hold most rows.
 
-Heavy keys are found with a bounded sketch. They take a way of their own (salted, or against a broadcast
-table of at most 2 / share rows); all other keys take the ordinary shuffle; the two are unioned. The routes
+Heavy keys are found with a bounded sketch. Rows that meet them in a broadcast join (a table of at most 2 / share
+rows) take a way of their own; all other keys take the ordinary shuffle; the two are unioned. The routes
 only differ in where rows are processed, so the result is whole and the same whatever the sketch finds.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A key is heavy from this share of the rows on. No more than 1 / SHARE keys can be.
@@ -41,6 +41,12 @@ def _in(key: str, keys: list) -> Column:
     return F.coalesce(F.col(key).isin(keys), F.lit(False)) if keys else F.lit(False)
 
 
+def key_table(spark: SparkSession, key: str, kind: str, keys: list, **columns: Column) -> DataFrame:
+    """A table of heavy keys, small enough to be broadcast: one row per key, with more columns computed from it."""
+    one = spark.range(1).select(F.explode(F.array(*map(F.lit, keys)).cast(f"array<{kind}>")).alias(key))
+    return one.withColumns(columns) if columns else one
+
+
 def skew_join(left: DataFrame, right: DataFrame, key: str, heavy: list, how: str = "inner") -> DataFrame:
     """left join right on key, where right has at most one row per key and left may be of any skew.
 
@@ -82,27 +88,30 @@ def _score_summaries(value: str, k: int) -> dict[str, Summary]:
 def per_key_summary(df: DataFrame, key: str, value: str, heavy: list | None = None, *, spread: str, k: int = 1024) -> DataFrame:
     """Per key: number of rows, of values, mean, population deviation, extremes and median (rank error below 1 %).
 
-    Rows of heavy and null keys are spread over PARTS by a hash of `spread`, reduced in parts, and the parts
-    merged; the rest goes through one ordinary shuffle. value must be null where there is no value.
-    A null key is a group of its own; no rows give no groups.
+    A broadcast join with the table of heavy keys (at most 2 / share rows) gives their rows the number of parts over
+    which a hash of `spread` puts them; they are reduced in parts, and the parts merged. Rows that find no heavy key go
+    through one ordinary shuffle, and the two results are unioned. value must be null where there is no value. A null key is
+    a group of its own, put into parts like a heavy one; no rows give no groups.
     Returns key, n, n_scores, sum_score, mean_score, sd_score, min_score, max_score, median_score.
     """
     heavy = heavy_keys(df, key) if heavy is None else heavy
+    kind = df.schema[key].dataType.simpleString()
     name, key = key, "key of group"
     df = df.select(F.col(name).alias(key), F.col(value).cast("double").alias("value"), F.col(spread).alias("spread"))
     sums = _score_summaries("value", k)
-    is_heavy = _in(key, heavy) | F.col(key).isNull()
+    large = F.broadcast(key_table(df.sparkSession, key, kind, heavy, parts=F.lit(PARTS)))
     merged = {n: m(F.col(n)).alias(n) for n, (_, m) in sums.items()}
     aggs = [a.alias(n) for n, (a, _) in sums.items()]
     hot = (
-        df.where(is_heavy)
-        .withColumn("part", F.pmod(F.xxhash64("spread"), F.lit(PARTS)))
+        df.join(large, key)
+        .unionByName(df.where(F.col(key).isNull()).withColumn("parts", F.lit(PARTS)))
+        .withColumn("part", F.pmod(F.xxhash64("spread"), F.col("parts")))
         .groupBy(key, "part")
         .agg(*aggs)
         .groupBy(key)
         .agg(*merged.values())
     )
-    cold = df.where(~is_heavy).groupBy(key).agg(*aggs)
+    cold = df.where(F.col(key).isNotNull()).join(large, key, "left_anti").groupBy(key).agg(*aggs)
     mean = F.try_divide("sum_score", "n_scores")
     return (
         hot.unionByName(cold)

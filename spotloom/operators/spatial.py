@@ -54,13 +54,18 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, group: str = "roi", id:
     A box goes to every grid cell it touches, a point to its own, so each match is made once. Boxes may overlap;
     a box with an edge that is null, or that is empty, holds nothing. Large boxes only cost area / cell^2 rows.
     """
+    return _in_boxes(points, boxes, group, id, box, cell).select(group, id, box)
+
+
+def _in_boxes(points: DataFrame, boxes: DataFrame, group: str, id: str, box: str, cell: float, *more: str) -> DataFrame:
+    """Matches of points_in_boxes with x and y of the point and more columns of the box."""
     p = points.select(F.col(group), F.col(id), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     p = p.withColumns({"cx": F.floor(F.col("x") / cell), "cy": F.floor(F.col("y") / cell)})
-    b = boxes.where((F.col("xmin") < F.col("xmax")) & (F.col("ymin") < F.col("ymax"))).select(group, box, "ymin", "xmin", "ymax", "xmax")
+    b = boxes.where((F.col("xmin") < F.col("xmax")) & (F.col("ymin") < F.col("ymax"))).select(group, box, "ymin", "xmin", "ymax", "xmax", *more)
     b = b.withColumn("cx", F.explode(_cells(F.col("xmin"), F.col("xmax") - F.lit(1e-9), cell)))
     b = b.withColumn("cy", F.explode(_cells(F.col("ymin"), F.col("ymax") - F.lit(1e-9), cell)))
     inside = (F.col("y") >= F.col("ymin")) & (F.col("y") < F.col("ymax")) & (F.col("x") >= F.col("xmin")) & (F.col("x") < F.col("xmax"))
-    return p.join(b, [group, "cx", "cy"]).where(inside).select(group, id, box)
+    return p.join(b, [group, "cx", "cy"]).where(inside)
 
 
 def crossing_count(x: Column, y: Column, ring: Column) -> Column:
@@ -79,7 +84,8 @@ def crossing_count(x: Column, y: Column, ring: Column) -> Column:
 def points_in_polygons(points: DataFrame, polygons: DataFrame, group: str = "roi", id: str = "spot_id", polygon: str = "polygon_id", cell: float = 64.0) -> DataFrame:
     """(group, id, polygon) for points inside rings: the boxes of the rings over the grid first, then the crossing rule.
 
-    polygons: group, polygon, ring array<struct<x:double,y:double>>. Rings of fewer than 3 corners or null hold nothing.
+    polygons: group, polygon, ring array<struct<x:double,y:double>>. Rings of fewer than 3 corners or null hold nothing. A ring goes
+    to each grid cell its box touches, so a point is decided where it meets the cell and a polygon with most points is no hot key.
     """
     r = polygons.where(F.size("ring") >= 3).select(group, polygon, "ring")
     lim = r.select(
@@ -87,13 +93,8 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, group: str = "roi
         F.array_min(F.transform("ring", lambda p: p["y"])).alias("ymin"), F.array_min(F.transform("ring", lambda p: p["x"])).alias("xmin"),
         (F.array_max(F.transform("ring", lambda p: p["y"])) + 1e-9).alias("ymax"), (F.array_max(F.transform("ring", lambda p: p["x"])) + 1e-9).alias("xmax"),
     )
-    hits = points_in_boxes(points, lim, group, id, polygon, cell)
-    return (
-        hits.join(points.select(group, id, "x", "y"), [group, id])
-        .join(r, [group, polygon])
-        .where(crossing_count(F.col("x").cast("double"), F.col("y").cast("double"), F.col("ring")) % 2 == 1)
-        .select(group, id, polygon)
-    )
+    hits = _in_boxes(points, lim, group, id, polygon, cell, "ring")
+    return hits.where(crossing_count(F.col("x"), F.col("y"), F.col("ring")) % 2 == 1).select(group, id, polygon)
 
 
 def great_circle_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

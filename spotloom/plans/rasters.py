@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from spotloom.functions.arrays import has_nan
 from spotloom.operators import raster
+from spotloom.operators.estimators import exact_median
 from spotloom.operators.spatial import located
+from spotloom.session import Scratch
 from spotloom.sources.tables import barcode_spots, gene_spots, once_per_spot, table
 
 STEP, LABEL_STEP = 100, 20
@@ -24,9 +26,14 @@ def _labels(spark: SparkSession, folder: str) -> DataFrame:
     return raster.rasterise_boxes(table(spark, folder, "cells"), ["roi"], "label", LABEL_STEP)
 
 
+def _whole_traces(spark: SparkSession, folder: str) -> DataFrame:
+    """spot_id, trace: those without gaps."""
+    return once_per_spot(barcode_spots(spark, folder).where("trace is not null"), "trace").where(~F.exists("trace", has_nan))
+
+
 def _traces(spark: SparkSession, folder: str) -> DataFrame:
     """spot_id, round, c, v of the traces without gaps."""
-    t = once_per_spot(barcode_spots(spark, folder).where("trace is not null"), "trace").where(~F.exists("trace", has_nan))
+    t = _whole_traces(spark, folder)
     return t.select("spot_id", F.posexplode("trace").alias("round", "t")).select("spot_id", "round", F.posexplode("t").alias("c", "v"))
 
 
@@ -48,7 +55,7 @@ def channel_norm(spark: SparkSession, folder: str) -> DataFrame:
     """Intensities divided by the factor of their channel in the first round: mean per channel and round."""
     t = _traces(spark, folder)
     f = raster.strict_quantile(raster.histogram(t.where("round = 0"), ["c"], "v"), ["c"], 0.999)
-    return t.join(F.broadcast(f), "c").groupBy("c", "round").agg(F.round(F.avg(F.col("v") / F.col("factor")), 6).alias("mean_v"))
+    return t.join(f, "c").groupBy("c", "round").agg(F.round(F.avg(F.col("v") / F.col("factor")), 6).alias("mean_v"))
 
 
 def merged_histograms(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,8 +63,10 @@ def merged_histograms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def norm_shift(spark: SparkSession, folder: str) -> DataFrame:
-    s = _traces(spark, folder).groupBy("spot_id").agg(F.sum(F.col("v") * F.col("v")).alias("s"))
-    return s.agg(F.round(F.sqrt(F.median("s")), 4).alias("norm_shift"))
+    """Root of the median energy of the traces."""
+    s = Scratch(spark, "energy").save(_whole_traces(spark, folder).select(F.aggregate(F.flatten("trace"), F.lit(0.0), lambda a, v: a + v * v).alias("s")))
+    m = exact_median(s, "s")
+    return spark.range(1).select(F.lit(None if m is None else round(m**0.5, 4)).cast("double").alias("norm_shift"))
 
 
 def channel_stats(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,9 +74,12 @@ def channel_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def z_projection(spark: SparkSession, folder: str) -> DataFrame:
-    """Maximum, median and mean over the rounds, per spot and channel."""
-    p = _traces(spark, folder).groupBy("spot_id", "c").agg(F.max("v").alias("v_max"), F.median("v").alias("v_median"), F.round(F.avg("v"), 4).alias("v_mean"))
-    return p
+    """Maximum, median and mean over the rounds, per spot and channel; a trace is one row, so nothing is shuffled for it."""
+    t = _whole_traces(spark, folder).where(F.size("trace") > 0).select("spot_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda c: F.transform("trace", lambda r: F.get(r, c)))).alias("c", "v"))
+    n, s = F.size("v"), F.array_sort("v")
+    middle = (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2
+    mean = F.aggregate("v", F.lit(0.0), lambda a, x: a + x) / n
+    return t.select("spot_id", "c", F.array_max("v").alias("v_max"), middle.alias("v_median"), F.round(mean, 4).alias("v_mean"))
 
 
 def focus_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -161,9 +173,9 @@ def raster_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def area_acronym(spark: SparkSession, folder: str) -> DataFrame:
-    """Areas (nations) by region, area 0 being outside; broadcast of fixed lookup tables."""
+    """Areas (nations) by region, area 0 being outside."""
     c, n, r = (table(spark, folder, t) for t in ("customer", "nation", "region"))
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey, "left")
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, F.col("n_regionkey") == r.r_regionkey, "left")
     area = F.when(F.col("c_nationkey") == 0, "outside").otherwise(F.col("r_name"))
     return j.groupBy(area.alias("area")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotloom.functions.arrays import hamming, indices, letters
-from spotloom.functions.text_keys import valid_score
+from spotloom.functions.text_keys import gene_key, valid_score
 from spotloom.operators import calling, counting
 from spotloom.operators.spatial import located, points_in_boxes
 from spotloom.plans.problems import SQL_GENE, sql_score, sql_sequence
@@ -95,8 +95,7 @@ def _tile_genes(spark: SparkSession, folder: str) -> DataFrame:
 
 def _hyb_genes(spark: SparkSession, folder: str) -> DataFrame:
     h = table(spark, folder, "hyb_spots").where((F.col("score") > HYB_SCORE) & ~F.isnan("score"))
-    gene = F.lower(F.trim("gene"))
-    return counting.count_spots(once_per_spot(h, *TILE, gene.alias("gene")), TILE, "gene")
+    return counting.count_spots(once_per_spot(h, *TILE, gene_key(F.col("gene")).alias("gene")), TILE, "gene")
 
 
 def fuse_genes_hyb(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,10 +104,10 @@ def fuse_genes_hyb(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def count_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    """Spots per tile with one column per roi."""
+    """Spots per tile with one column for each of ten rois and one for all others."""
     spots = once_per_spot(gene_spots(spark, folder), *TILE)
     c = counting.count_spots(spots, ["tx", "ty"], "roi")
-    return counting.pivot_counts(c, ["tx", "ty"], "roi", list(range(1, 11))).withColumnsRenamed({str(r): f"roi_{r}" for r in range(1, 11)})
+    return counting.pivot_counts(c, ["tx", "ty"], "roi", list(range(1, 11)), "roi_other").withColumnsRenamed({str(r): f"roi_{r}" for r in range(1, 11)})
 
 
 def _tile_barcodes(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,9 +209,9 @@ ORACLES = {
     "gene_first_sequence": f"with {_BOOK} select gene, arg_min(seq, ord) as seq from book where gene is not null group by gene",
     "count_spots_long": f"with {_IN_CELLS} select roi, label, gene, count(*) as n from k where gene is not null group by all",
     "segment_spots_filtered": f"with {_IN_CELLS} select roi, label, count(*) as n_spots, count(distinct gene) as n_genes from k where gene is not null and score > {GENE_SCORE} group by roi, label",
-    "fuse_genes_hyb": f"""with {_GENES}, {_TILE_GENES}, h as (select roi, tx, ty, lower(trim(gene)) as gene, count(distinct spot_id) as n from hyb_spots where score > {HYB_SCORE} and not isnan(score) and gene is not null and spot_id is not null group by all),
+    "fuse_genes_hyb": f"""with {_GENES}, {_TILE_GENES}, h as (select roi, tx, ty, {SQL_GENE} as gene, count(distinct spot_id) as n from hyb_spots where score > {HYB_SCORE} and not isnan(score) and {SQL_GENE} is not null and spot_id is not null group by all),
       f as (select * from tg anti join h using (gene) union all select * from h) select gene, sum(n)::bigint as n, count(*) as n_tiles from f group by gene""",
-    "count_pivot": f"with {_GENES} select tx, ty, " + ", ".join(f"count(*) filter (where roi = {r}) as roi_{r}" for r in range(1, 11)) + " from g where tx is not null and ty is not null and roi is not null group by tx, ty",
+    "count_pivot": f"with {_GENES} select tx, ty, " + ", ".join(f"count(*) filter (where roi = {r}) as roi_{r}" for r in range(1, 11)) + ", count(*) filter (where roi not between 1 and 10) as roi_other from g where tx is not null and ty is not null and roi is not null group by tx, ty",
     "multiplicity": f"with {_BARCODES}, {_MAIN} select roi, tx, ty, total, main, n_main, round(n_main / total, 6) as share from mn",
     "main_barcode_edit_profile": f"with {_BARCODES}, {_MAIN} select roi, levenshtein(item, main)::int as distance, sum(n)::bigint as n from b join mn using (roi, tx, ty) group by 1, 2",
     "tile_qc": f"""with {_GENES}, {_TILE_GENES}, w as (select *, sum(n) over (partition by roi, tx, ty) as total from tg) select gene, count(*) as n_tiles, round(avg(ln(1 + n * 10.0 / total)), 5) as mean_value

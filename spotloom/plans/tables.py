@@ -69,7 +69,7 @@ def atlas_lookup(spark: SparkSession, folder: str) -> DataFrame:
     a = raster.block_reduce(rasters._density(spark, folder), ["roi"], 2, F.sum("v")).withColumn("area_id", (F.col("v") % 6).cast("int")).drop("v")
     s = once_per_spot(located(gene_spots(spark, folder)), "roi", "x", "y")
     names = table(spark, folder, "region").select(F.col("r_regionkey").alias("area_id"), "r_name")
-    j = prj.scaled_lookup(s, a, ["roi"], 200.0, ["area_id"]).join(F.broadcast(names), "area_id", "left")
+    j = prj.scaled_lookup(s, a, ["roi"], 200.0, ["area_id"]).join(names, "area_id", "left")
     return j.groupBy(F.when(F.col("area_id") == 0, "outside").otherwise(F.col("r_name")).alias("area")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -111,11 +111,9 @@ def radial_spot_shape(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cells_per_tile(spark: SparkSession, folder: str) -> DataFrame:
-    """Cells of each tile: a row per roi and tile row, a column per tile column (0 to 7, and whichever else has cells)."""
+    """Cells of each tile that has any, whatever the size of the grid."""
     c = table(spark, folder, "cells").withColumns({"ty": F.floor(F.col("y") / 1800).cast("int"), "tx": F.floor(F.col("x") / 1800).cast("int")})
-    columns = sorted({*range(8), *(r["tx"] for r in c.select("tx").where("tx is not null").distinct().collect())})
-    wide = c.groupBy("roi", "ty").pivot("tx", columns).count()
-    return wide.fillna(0).withColumnsRenamed({str(k): f"tx_{k}" for k in columns})
+    return c.groupBy("roi", "ty", "tx").agg(F.count(F.lit(1)).alias("n"))
 
 
 def cdf_difference(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,16 +124,10 @@ def cdf_difference(spark: SparkSession, folder: str) -> DataFrame:
     h = values.join(own, ["roi", "v"], "left").fillna(0, ["n"])
     one = raster.cumulative(h, ["roi"]).select("roi", "v", "cdf")
     every = raster.cumulative(h.groupBy("v").agg(F.sum("n").alias("n")), []).select("v", F.col("cdf").alias("grand"))
-    return one.join(F.broadcast(every), "v").select("roi", "v", F.round(F.col("cdf") - F.col("grand"), 5).alias("difference"))
+    return one.join(every, "v").select("roi", "v", F.round(F.col("cdf") - F.col("grand"), 5).alias("difference"))
 
 
 def natural_order(spark: SparkSession, folder: str) -> DataFrame:
-    """The first hundred genes by their number, then by name."""
-    g = gene_spots(spark, folder).select("gene").where("gene is not null").distinct()
-    return g.orderBy(*prj.natural_key(F.col("gene"))).limit(100)
-
-
-def all_genes_in_order(spark: SparkSession, folder: str) -> DataFrame:
     """Every gene by its number, then by name."""
     g = gene_spots(spark, folder).select("gene").where("gene is not null").distinct()
     return g.orderBy(*prj.natural_key(F.col("gene")))
@@ -156,7 +148,7 @@ def daily_steps(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     camera_order, flipped_density, preferred_scores, bad_traces, cell_shapes, density_colours, plane_pairs, atlas_lookup, remove_deleted_labels, keep_cells, semi_cells,
-    parameter_grid, black_level, mean_spot_shape, radial_spot_shape, cells_per_tile, cdf_difference, natural_order, all_genes_in_order, set_operations, daily_steps,
+    parameter_grid, black_level, mean_spot_shape, radial_spot_shape, cells_per_tile, cdf_difference, natural_order, set_operations, daily_steps,
 )}
 
 _D, _T, _PEAKS = rasters._D, rasters._T, rasters._PEAKS
@@ -185,12 +177,11 @@ ORACLES = {
     "black_level": f"with {_T}, m as (select spot_id, round from t group by all having max(v) < 40) select c, round(avg(v), 4) as black from t semi join m using (spot_id, round) group by c",
     "mean_spot_shape": f"with {_PEAKS}, {_SHAPE} select dy, dx, v from ms",
     "radial_spot_shape": f"with {_PEAKS}, {_SHAPE} select dy * dy + dx * dx as r2, round(avg(v), 5) as v from ms group by 1",
-    "cells_per_tile": "select roi, floor(y / 1800)::int as ty, " + ", ".join(f"count(*) filter (where floor(x / 1800) = {k}) as tx_{k}" for k in range(8)) + " from cells group by 1, 2",
-    "cdf_difference": f"""with {_D}, h as (select roi, v::int as v, count(*) as n from d where v <= 20 group by all), r as (select distinct roi, unnest(range(21))::int as v from (select distinct roi from d)), f as (select r.roi, r.v, coalesce(n, 0) as n from r left join h using (roi, v)),
+    "cells_per_tile": "select roi, floor(y / 1800)::int as ty, floor(x / 1800)::int as tx, count(*) as n from cells group by all",
+    "cdf_difference": f"""with {_D}, h as (select roi, v::int as v, count(*) as n from d group by all), r as (select distinct roi, unnest(range((select greatest(20, max(v)) + 1 from h)))::int as v from (select distinct roi from d)), f as (select r.roi, r.v, coalesce(n, 0) as n from r left join h using (roi, v)),
       a as (select v, sum(n) as n from f group by v), g as (select v, sum(n) over (order by v) / (select sum(n) from a) as grand from a), o as (select roi, v, sum(n) over (partition by roi order by v) / sum(n) over (partition by roi) as cdf from f)
       select roi, v, round(cdf - grand, 5) as difference from o join g using (v)""",
-    "natural_order": f"with g as (select distinct {SQL_GENE} as gene from gene_spots) select gene from g where gene is not null order by coalesce(nullif(regexp_extract(gene, '[0-9]+'), '')::bigint, -1), gene limit 100",
-    "all_genes_in_order": f"with g as (select distinct {SQL_GENE} as gene from gene_spots) select gene from g where gene is not null order by coalesce(nullif(regexp_extract(gene, '[0-9]+'), '')::bigint, -1), gene",
+    "natural_order": f"with g as (select distinct {SQL_GENE} as gene from gene_spots) select gene from g where gene is not null order by coalesce(nullif(regexp_extract(gene, '[0-9]+'), '')::bigint, -1), gene",
     "set_operations": f"""with {_HIGH.format(g=0.6, b=0.6)}, p as (select 'both' as part, * from (select * from g intersect select * from b) union all select 'genes', * from (select * from g except select * from b)
       union all select 'barcodes', * from (select * from b except select * from g) union all select 'any', * from (select * from g union select * from b)) select part, roi, count(*) as n from p group by part, roi""",
     "daily_steps": "with d as (select event_type, ts::date::varchar as day, count(*) as n from events group by 1, 2) select event_type, day, n, lead(n) over (partition by event_type order by day) - n as step from d",

@@ -32,9 +32,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = f"file://{tempfile.gettempdir()}/spotloom-{os.getpid()}"
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return f"file://{tempfile.gettempdir()}/spotloom-{os.getpid()}"
 
 
 class Scratch:
@@ -46,7 +44,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.at = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-        self.count = 0
+        self.count, self.paths = 0, set()
         atexit.register(self.drop)
 
     def save(self, df: DataFrame) -> DataFrame:
@@ -55,13 +53,23 @@ class Scratch:
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path  # noqa: SLF001
+        self.paths.add(path)
         return out
 
+    def keep(self, *tables: DataFrame) -> None:
+        """Delete all saved tables but these: for the end of an operator, whose result reads nothing else."""
+        for path in self.paths - {t._scratch_path for t in tables}:  # noqa: SLF001
+            self._delete(path)
+        self.paths = {t._scratch_path for t in tables}  # noqa: SLF001
+
     def drop(self, df: DataFrame | None = None) -> None:
         """Delete one saved table, or all that is left."""
         path = self.at if df is None else getattr(df, "_scratch_path", None)
-        if path is None:
-            return
+        if path is not None:
+            self.paths.discard(path)
+            self._delete(path)
+
+    def _delete(self, path: str) -> None:
         try:
             jvm, jsc = self.spark._jvm, self.spark.sparkContext._jsc  # noqa: SLF001
             p = jvm.org.apache.hadoop.fs.Path(path)
