@@ -3,9 +3,9 @@
 A record is a matrix of cycles by channels. Its set has one element per cycle: the cycle and which channels reach
 half of the cycle's brightest. Records of one set are one class; all pairwise work is between classes, so copies
 cost nothing. MinHash bands propose pairs of classes, their exact Jaccard similarity decides, connected components
-of the links form groups, and groups that are not tight around their mean are split around medoids: classes with
-more linked records than any linked class. Each record's cosine with its group's mean is checked; records that are
-trimmed by that are grouped anew, until no group of them is left.
+of the links form groups, and groups that are not tight around their mean are split around medoids: classes of greater degree
+(records that differ from them in one cycle at most) than any linked class. Each record's cosine with its group's mean is
+checked; records that are trimmed by that are grouped anew, until no group of them is left.
 """
 
 from __future__ import annotations
@@ -28,9 +28,6 @@ SIMILAR, BANDS, ROWS = 0.8, 32, 6
 CROWD = 64
 #: Share of a cycle's brightest channel from which a channel counts as bright.
 BRIGHT = 0.5
-#: Rounds of splitting after which what is still loose is trimmed.
-TURNS = 12
-
 
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
@@ -88,7 +85,7 @@ def _bands(cycles: int, letters: int, bands: int, rows: int):
                 keys = (low.reshape(len(names), bands, rows).astype(np.int64) * mix).sum(2) * 31 + np.arange(bands)
                 keys ^= keys >> 29
             at = pa.array(np.repeat(np.arange(len(names)), bands))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), b.column(0).take(at), b.column(1).take(at)], names=["key", "pattern", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), b.column(0).take(at), b.column(1).take(at)], names=["key", "pattern", "g"])
 
     return run
 
@@ -99,16 +96,42 @@ def _similarity(a: str, b: str, cycles: int) -> Column:
     return F.expr(f"({same})/(({both})-({same}))")
 
 
+def _ranked(classes: DataFrame) -> DataFrame:
+    """pattern, n (records, 1 if not given), g (group within which patterns are compared, 0 if not given), and w if it is there."""
+    n = F.col("n").cast("bigint") if "n" in classes.columns else F.lit(1).cast("bigint")
+    g = F.col("g") if "g" in classes.columns else F.lit(0).cast("bigint")
+    return classes.select("pattern", n.alias("n"), g.alias("g"), *(["w"] if "w" in classes.columns else []))
+
+
+def degrees(classes: DataFrame, cycles: int) -> DataFrame:
+    """pattern, w: the records of all patterns that differ from it in one cycle at most, its own included. Counted by patterns with one cycle
+    masked, so no pair is made; all masked alike are at most as many as a cycle has letters."""
+    masks = F.array(*(F.struct(F.lit(i).alias("i"), F.expr(f"overlay(pattern placing '_' from {i + 1})").alias("m")) for i in range(cycles)))
+    k = classes.select("pattern", "n", F.explode(masks).alias("k")).select("pattern", "n", "k.i", "k.m")
+    alike = k.groupBy("i", "m").agg(F.sum("n").alias("s"))
+    return k.join(alike, ["i", "m"]).groupBy("pattern", "n").agg(F.sum(F.col("s") - F.col("n")).alias("others")).select("pattern", (F.col("others") + F.col("n")).alias("w"))
+
+
+def _parts(df: DataFrame, pattern: str, cycles: int, similar: float) -> DataFrame:
+    """df once for each of d + 1 parts of its pattern: patterns of at least that similarity differ in d cycles at most and so share a part."""
+    parts = int(cycles * (1 - similar) + 1e-9) + 1
+    edges = [round(i * cycles / parts) for i in range(parts + 1)]
+    return df.withColumn("part", F.explode(F.array(*(F.concat(F.lit(f"{i}:"), F.substring(pattern, a + 1, z - a)) for i, (a, z) in enumerate(zip(edges, edges[1:], strict=False))))))
+
+
 def links(classes: DataFrame, cycles: int, channels: int, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS, crowd: int = CROWD, scratch: Scratch | None = None) -> DataFrame:
     """(a, b, a < b): pairs of different patterns with a Jaccard similarity of at least `similar`.
 
-    Where more than `crowd` patterns share a band, they are first compared with its most frequent one. Those like it are
-    linked through it, and only those unlike it meet all others: no pair that would connect anything is left out, but the number of
-    comparisons stays near the number of patterns. classes: pattern and, if it is there, n (records of the pattern).
+    Where more than `crowd` patterns share a band, they are first compared with the one of greatest degree. Those like it are
+    linked through it, and only those unlike it meet the others, where they share a part of the pattern: pairs of two that are both like
+    the centre are not listed. Nothing that follows depends on these: groups stay connected through the centre, and as it ranks before
+    both, neither is a medoid, and no class is cut off from the medoid it belongs to.
+    classes: pattern and, if they are there, n (records of the pattern), g (only patterns of one g are compared) and w (degree).
     """
     scratch = scratch or Scratch(classes.sparkSession, "links")
-    count = F.col("n").cast("bigint") if "n" in classes.columns else F.lit(1).cast("bigint")
-    keyed = scratch.save(classes.select("pattern", count.alias("n")).mapInArrow(_bands(cycles, 1 << channels, bands, rows), "key bigint, pattern string, n bigint"))
+    classes = _ranked(classes)
+    keyed = classes.select("pattern", "g").mapInArrow(_bands(cycles, 1 << channels, bands, rows), "key bigint, pattern string, g bigint")
+    keyed = scratch.save(keyed.select(F.when(F.col("g") == 0, F.col("key")).otherwise(F.xxhash64("key", "g")).alias("key"), "pattern"))
     crowded = scratch.save(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > crowd).select("key"))
     any_crowd = crowded.limit(1).count() > 0
     few = (keyed.join(crowded, "key", "left_anti") if any_crowd else keyed).select("key", "pattern")
@@ -116,11 +139,13 @@ def links(classes: DataFrame, cycles: int, channels: int, similar: float = SIMIL
     found = pairs.where(_similarity("a", "b", cycles) >= similar).select("a", "b")
     if not any_crowd:
         return found.distinct()
-    many = keyed.join(crowded, "key")
-    centres = many.groupBy("key").agg(F.max(F.struct("n", "pattern")).alias("c")).select("key", F.col("c.pattern").alias("b"))
+    many = scratch.save(keyed.join(crowded, "key"))
+    ranks = classes.select("pattern", "w") if "w" in classes.columns else degrees(classes.groupBy("pattern").agg(F.sum("n").alias("n")), cycles)
+    centres = many.join(ranks, "pattern").groupBy("key").agg(F.max(F.struct("w", "pattern")).alias("c")).select("key", F.col("c.pattern").alias("b"))
     near = many.select("key", F.col("pattern").alias("a")).join(centres, "key").where("a <> b").withColumn("s", _similarity("a", "b", cycles))
     star = near.where(F.col("s") >= similar).select("a", "b")
-    apart = near.where(F.col("s") < similar).select("key", "a").join(many.select("key", F.col("pattern").alias("b")), "key").where("a <> b")
+    apart = _parts(near.where(F.col("s") < similar).select("key", "a"), "a", cycles, similar)
+    apart = apart.join(_parts(many.select("key", F.col("pattern").alias("b")), "b", cycles, similar), ["key", "part"]).where("a <> b")
     both = star.unionByName(apart.where(_similarity("a", "b", cycles) >= similar).select("a", "b"))
     return found.unionByName(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
@@ -140,26 +165,24 @@ def _with_cosine(rows: DataFrame, dims: int, least: int, scratch: Scratch) -> Da
     return scratch.save(skew_join(rows, means, "root", large).withColumn("cosine", _dot(F.col("unit"), F.col("mean"))).drop("mean"))
 
 
-def _split(loose: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:
-    """(u, root) for the classes of loose groups: each goes to the medoid it is linked to, if there is one.
+def _split(classes: DataFrame, linked: DataFrame) -> DataFrame:
+    """(u, root) for classes (u, w, pattern) of loose groups: each goes to the medoid it is linked to, if there is one.
 
-    A medoid has a greater weight (records of its own and of linked classes; ties by id) than every linked class.
-    Classes without an adjacent medoid stay for the next round under the root of their component.
+    A medoid ranks before every linked class, by its degree w and then its pattern. Classes without an adjacent medoid get no row.
     """
-    inside = classes.join(loose, "root", "left_semi").select("u", "n")
+    rank = classes.select("u", F.struct("w", "pattern").alias("r"))
     both = linked.select("u", "v").unionByName(linked.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = both.join(inside.withColumnRenamed("n", "nu"), "u").join(inside.select(F.col("u").alias("v"), F.col("n").alias("nv")), "v")
-    weight = both.groupBy("u").agg((F.sum("nv") + F.max("nu")).alias("w"))
-    weighed = both.join(weight, "u").join(weight.select(F.col("u").alias("v"), F.col("w").alias("wv")), "v")
-    medoids = weighed.groupBy("u", "w").agg(F.max(F.struct("wv", "v")).alias("best")).where(F.struct("w", "u") > F.struct("best.wv", "best.v")).select("u", "w")
-    joined = both.join(medoids.select(F.col("u").alias("v"), F.col("w").alias("wm")), "v").groupBy("u").agg(F.max(F.struct("wm", "v")).alias("m"))
-    return medoids.select("u", F.col("u").alias("root")).unionByName(joined.select("u", F.col("m.v").alias("root"))).groupBy("u").agg(F.max("root").alias("root"))
+    best = both.join(rank.select(F.col("u").alias("v"), "r"), "v").groupBy("u").agg(F.max("r").alias("best"))
+    medoids = rank.join(best, "u").where(F.col("r") > F.col("best")).select("u", "r")
+    joined = both.join(medoids.select(F.col("u").alias("v"), "r"), "v").groupBy("u").agg(F.max(F.struct("r", "v")).alias("m"))
+    return medoids.select("u", F.col("u").alias("root")).unionByName(joined.select("u", F.col("m.v").alias("root")))
 
 
 def _grouped(vecs: DataFrame, cycles: int, channels: int, cosine: float, least: int, scratch: Scratch, alone: bool) -> tuple[DataFrame, DataFrame | None]:
     """The members of tight groups, and the rows that are left of loose ones (None where no group was loose).
 
-    alone: each class is a group of its own, and all other rows are left."""
+    Loose groups are split until that changes none of them: a turn either divides a group or leaves it to the medoid that all of it is
+    linked to, so the turns end. alone: each class is a group of its own, and all other rows are left."""
     dims = cycles * channels
     seed = 0
     while True:
@@ -168,15 +191,17 @@ def _grouped(vecs: DataFrame, cycles: int, channels: int, cosine: float, least:
             break
         seed += 1
     h = lambda c: F.xxhash64(F.lit(seed), c)
+
+    def linked(some: DataFrame) -> DataFrame:
+        return scratch.save(links(some, cycles, channels, scratch=scratch).select(h("a").alias("u"), h("b").alias("v")))
+
     if alone:
         roots = classes.select("u", F.col("u").alias("root"), "n")
     else:
-        linked = scratch.save(links(classes, cycles, channels, scratch=scratch).select(h("a").alias("u"), h("b").alias("v")))
-        roots = classes.join(components(linked, scratch), "u", "left").select("u", "pattern", F.coalesce("root", "u").alias("root"), F.col("n").alias("n"))
+        roots = classes.join(components(linked(classes), scratch), "u", "left").select("u", F.coalesce("root", "u").alias("root"), "n")
     rows = vecs.select("id", "unit", h("pattern").alias("u"))
-    done, suspects, turn = None, vecs, 0
+    done, suspects, turn, ranks = None, vecs, 0, None
     while True:
-        last = turn >= TURNS or alone
         roots = scratch.save(roots.select("u", "root", "n"))
         measured = _with_cosine(_placed(rows, roots), dims, least, scratch)
         loose = measured.where(F.col("cosine") < cosine).select("root").distinct()
@@ -189,17 +214,18 @@ def _grouped(vecs: DataFrame, cycles: int, channels: int, cosine: float, least:
             break
         if turn == 0 and not alone:
             suspects = vecs.join(measured.join(loose, "root", "left_semi").select("id"), "id", "left_semi")
-        if last:
+        if alone:
             break
         # whole groups that are loose are split; what does not change by that is trimmed below
-        again = scratch.save(_split(loose, roots, linked))
-        kept = roots.join(loose, "root", "left_semi").select("u", F.col("root").alias("old"), "n").join(again, "u", "left")
-        kept = scratch.save(kept.select("u", "n", "old", F.col("root").alias("new")))
-        if kept.where("new is not null and new <> old").limit(1).count() == 0:
+        if ranks is None:
+            ranks = scratch.save(classes.join(degrees(classes, cycles), "pattern").select("u", "pattern", "w"))
+        inside = scratch.save(roots.join(loose, "root", "left_semi").join(ranks, "u").select("u", "pattern", "n", "w", F.col("root").alias("g")))
+        again = _split(inside, linked(inside))
+        kept = scratch.save(inside.join(again, "u", "left").select("u", "pattern", "n", "w", "g", F.col("root").alias("new")))
+        if kept.where("new is not null and new <> g").limit(1).count() == 0:
             break
-        rest = linked.join(kept.where("new is null").select("u"), "u", "left_semi").join(kept.where("new is null").select(F.col("u").alias("v")), "v", "left_semi")
-        rest = components(rest.select("u", "v"), scratch, seed=turn + 11).select("u", F.col("root").alias("part"))
-        roots = kept.join(rest, "u", "left").select("u", F.coalesce("new", "part", "u").alias("root"), "n")
+        part = components(linked(kept.where("new is null")), scratch, seed=turn + 11).select("u", F.col("root").alias("part"))
+        roots = kept.join(part, "u", "left").select("u", F.coalesce("new", "part", "u").alias("root"), "n")
         turn += 1
     rows = measured.join(loose, "root", "left_semi").select("id", "root", "n", "unit", "cosine")
     while rows.where(F.col("cosine") < cosine).limit(1).count() > 0:  # each time there are fewer rows

@@ -74,7 +74,10 @@ class Bins:
             self.n_open += 1
 
     def add(self, size: int) -> int:
-        """The bin that takes an item of 1 to capacity units."""
+        """The bin that takes an item of 1 to capacity units. One that fills a bin alone needs no open one and closes none."""
+        if size == self.capacity:
+            self.next_id += 1
+            return self.next_id - 1
         fits = self.free_bits >> size
         if fits:
             free = size + (fits & -fits).bit_length() - 1

@@ -74,12 +74,14 @@ COMMON = {"gene": 0.85, "corrected_bases": 0.20}
 
 
 def _tile_frequencies(spark: SparkSession, folder: str) -> DataFrame:
-    """field, item, n_occurrences (spots), n_records (tiles), total (tiles with spots in the table)."""
+    """field, item, n_occurrences (spots), n_records (tiles), total (tiles with spots in the table): a layout for each day of called_at, and
+    the union of the days."""
     out = None
     for field, read in (("gene", gene_spots), ("corrected_bases", barcode_spots)):
-        spots = once_per_spot(read(spark, folder), F.col(field).alias("item"), *postings.tile_bucket())
+        spots = once_per_spot(read(spark, folder), F.col(field).alias("item"), F.to_date("called_at").alias("day"), *postings.tile_bucket())
         tiles = spots.where("bucket is not null").select("bucket", "pos").distinct().agg(F.count(F.lit(1)).alias("total"))
-        f = postings.frequencies(postings.layout(spots.withColumn("field", F.lit(field)), ["field", "item"]), ["field", "item"])
+        days = postings.layout(spots.withColumn("field", F.lit(field)), ["field", "day", "item"])
+        f = postings.frequencies(postings.union(days, ["field", "item"]), ["field", "item"])
         f = f.withColumn("total", tiles.scalar())
         out = f if out is None else out.unionByName(f)
     return out

@@ -207,3 +207,24 @@ def test_token_counts_are_those_of_the_tokenizer(spark):
     t = Tokenizer.from_file(f"{packing.TOKENIZERS}/byte_bpe_50k.json")
     t.encode_special_tokens = True
     assert got == {i: len(t.encode(x or "", add_special_tokens=False).ids) for i, x in enumerate(texts)}
+
+
+def test_days_unite_in_any_number(spark):
+    r = random.Random(4)
+    rows = [(f"i{r.randrange(6)}", r.randrange(5), r.randrange(3000), r.randrange(40)) for _ in range(20_000)] + [("i0", 9, None, 1), ("far", None, 5, 5)]
+    df = spark.createDataFrame(rows, "item string, day int, tx int, ty int").withColumn("roi", F.lit(1))
+    days = postings.layout(df.select("item", "day", *postings.tile_bucket()), ["day", "item"])
+    assert days.groupBy("day").count().count() == 7
+    whole = {x["item"]: (x["n_occurrences"], x["n_records"]) for x in postings.frequencies(postings.union(days, ["item"]), ["item"]).collect()}
+    want = {}
+    for item, _, tx, ty in rows:
+        n, tiles = want.setdefault(item, [0, set()])
+        want[item][0] += 1
+        if tx is not None:
+            tiles.add((tx, ty))
+    assert whole == {k: (n, len(t)) for k, (n, t) in want.items()} and max(len(t) for _, t in want.values()) > postings.DENSE
+
+
+def test_a_full_item_closes_no_container():
+    b = packing.Bins(10, 2, 0)
+    assert [b.add(6), b.add(5), b.add(10), b.add(4), b.add(5)] == [0, 1, 2, 0, 1]

@@ -148,6 +148,43 @@ def test_crowded_bands_connect_the_same_patterns(spark):
     assert whole == crowded and n_crowded <= n_whole
 
 
+def _dense_family(seed=2):
+    """One family of patterns with chance changes, loose as a whole and with many patterns in a band."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for base in (0, 1):
+        for _ in range(160):
+            pattern = np.zeros((12, 4))
+            pattern[np.arange(12), (np.arange(12) + base) % 4 if base else 0] = 1
+            for c in rng.choice(12, rng.integers(0, 5), replace=False):
+                pattern[c] = 0
+                pattern[c, rng.integers(4)] = 1
+            rows.append((len(rows), ((pattern + rng.normal(0, 0.01, (12, 4))) * 100).tolist()))
+    return rows
+
+
+def test_clusters_do_not_depend_on_what_counts_as_crowded(spark, monkeypatch):
+    df = spark.createDataFrame(_dense_family(), "spot_id bigint, trace array<array<double>>")
+    found = []
+    default = clusters.links
+    for crowd in (2, 8, 10**9):
+        monkeypatch.setattr(clusters, "links", lambda *a, c=crowd, **k: default(*a, **k, crowd=c))
+        s = Scratch(spark, "t")
+        by = {}
+        for r in clusters.leads(clusters.clusters(df, "spot_id", "trace", 12, 4, 0.91, 5, s), s).collect():
+            assert r["cosine"] >= 0.91
+            by.setdefault(r["lead"], []).append(r["id"])
+        found.append({k: sorted(v) for k, v in by.items()})
+    assert found[0] == found[1] == found[2] and len(found[0]) > 1
+
+
+def test_degrees_equal_counting(spark):
+    rng = random.Random(5)
+    rows = {"".join(rng.choice("ab") if rng.random() < 0.3 else "c" for _ in range(6)): rng.randrange(1, 9) for _ in range(40)}
+    got = {r["pattern"]: r["w"] for r in clusters.degrees(spark.createDataFrame(list(rows.items()), "pattern string, n bigint"), 6).collect()}
+    assert got == {p: sum(n for q, n in rows.items() if sum(x != y for x, y in zip(p, q, strict=True)) <= 1) for p in rows}
+
+
 def test_no_traces_give_no_clusters(spark):
     df = spark.createDataFrame([], "spot_id bigint, trace array<array<double>>")
     assert clusters.clusters(df, "spot_id", "trace", 12, 4, 0.91, 5, Scratch(spark, "t")).count() == 0
