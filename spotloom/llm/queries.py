@@ -118,7 +118,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 def p5_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """Each cluster's size and its most typical spots: those nearest to the common mean."""
     c = _clusters(spark, folder)
-    first = Window.partitionBy("lead").orderBy(F.desc("cosine"), "id")
+    first = Window.partitionBy("lead").orderBy(F.desc(F.round("cosine", 9)), "id")  # limited to the first few of each cluster before the shuffle
     top = c.withColumn("place", F.row_number().over(first)).where(F.col("place") <= TYPICAL)
     return top.select(F.col("lead").alias("lead_id"), F.col("n").alias("size"), "place", F.col("id").alias("typical_id"), F.round("cosine", 4).alias("cosine"))
 
@@ -159,7 +159,7 @@ def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _leaks(spark: SparkSession, folder: str) -> DataFrame:
-    return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"), scratch=Scratch(spark, "p9"))
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,7 +231,31 @@ _SQL_P7 = f"""r as (select distinct {sql_sequence('bases')} as a, {sql_sequence(
   reach as (select a as m, a as x from s union select reach.m, s.b from reach join s on s.a = reach.x),
   g as (select m, min(x) as first, count(*) as size from reach group by m)"""
 
+#: The channel bits of a pattern's letters, least share of a bright channel, least similarity and cosine.
+_CYCLE = "list_sum([case when m[c] >= 0.5 * list_max(m) and list_max(m) > 0 then 2 ** (c - 1) else 0 end for c in range(1, 5)])::int"
+_EQUAL = "list_sum([case when a.p[i] = b.p[i] and a.p[i] > 0 then 1 else 0 end for i in range(1, 13)])"
+_BRIGHT = "list_sum([case when {t}.p[i] > 0 then 1 else 0 end for i in range(1, 13)])"
+#: Every pair of patterns that share a third (patterns of similarity 0.8 differ in two cycles at most) is compared; groups are closures of
+#: links; those with a member off the mean, which the operator would split, give no rows here.
+_SQL_P5 = f"""t as (select spot_id, min([[case when isnan(x) then 0 else x end for x in r] for r in trace]) as t from hyb_spots where spot_id is not null and trace is not null group by spot_id),
+  n0 as (select spot_id, t, flatten(t) as f from t), n1 as (select spot_id, t, f, sqrt(list_sum([x * x for x in f])) as size from n0),
+  v as (select spot_id, [x / size for x in f] as unit, [{_CYCLE} for m in t] as p from n1 where size > 0),
+  k as (select p, row_number() over (order by p) as k from (select distinct p from v)),
+  parts as (select k, p, i, p[i * 4 + 1 : i * 4 + 4] as part from k, range(3) r(i)),
+  pairs as (select distinct a.k as a, b.k as b from parts a join parts b on a.i = b.i and a.part = b.part and a.k < b.k where {_EQUAL} >= 0.8 * ({_BRIGHT.format(t='a')} + {_BRIGHT.format(t='b')} - {_EQUAL}) - 1e-9),
+  s as (select a, b from pairs union select b, a from pairs),
+  reach as (select k as m, k as x from k union select reach.m, s.b from reach join s on s.a = reach.x),
+  g as (select m as k, min(x) as root from reach group by m),
+  w as (select spot_id, unit, root from v join k using (p) join g using (k)),
+  e as (select spot_id, root, unnest(unit) as x, unnest(range(48)) as d from w),
+  mean as (select root, d, avg(x) as y from e group by root, d), norm as (select root, sqrt(sum(y * y)) as l from mean group by root),
+  c as (select spot_id, root, sum(x * y) / any_value(l) as cosine from e join mean using (root, d) join norm using (root) group by spot_id, root),
+  q as (select *, min(spot_id) over (partition by root) as lead_id, count(*) over (partition by root) as size, min(cosine) over (partition by root) as least from c)"""
+
 ORACLES = {
+    "p5_found": f"with recursive {_SQL_P5} select lead_id, spot_id from q where size >= {LEAST_MEMBERS} and least >= {COSINE} and spot_id <> lead_id",
+    "p5_clusters": f"""with recursive {_SQL_P5}, o as (select *, row_number() over (partition by root order by round(cosine, 9) desc, spot_id) as place from q where size >= {LEAST_MEMBERS} and least >= {COSINE})
+      select lead_id, size, place::int as place, spot_id as typical_id, round(cosine, 4) as cosine from o where place <= {TYPICAL}""",
     "p1_found": " union all ".join(
         f"select field, roi, call_day, {p} as pct from ({_SQL_P1}) where s is not null group by field, roi, call_day having count(*) >= {LEAST_SCORES} and quantile_disc(s, {p / 100}) < {v}" for p, v in LOW
     ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from collections.abc import Container
 
@@ -18,9 +19,11 @@ _BLOCKS = regex.compile(r"<\s*/?\s*(?:p|div|br|li|ul|ol|tr|td|th|table|h[1-6]|hr
 _TAGS = regex.compile(r"</?[a-zA-Z][^<>]{0,500}>|<!--.{0,2000}?-->", regex.S)
 _JOINER = regex.compile(r"\p{Cf}+")
 _MARKS = regex.compile(r"\p{Mn}+")
-_BROKEN = regex.compile(r"([^\W_]+)[-‐‑]\s*\n\s*([^\W_]+)")
+_BREAK = re.compile(r"(?<=[^\W_])[-‐‑]\s*\n\s*(?=[^\W_])")
 _WORD = regex.compile(r"[^\W_]+")
-_EMPHASIS = regex.compile(r"[*_`~]{1,3}")
+_EMPHASIS = "*_`~"
+#: Bytes that stand in words of plain text; all others become blanks.
+_PLAIN = bytes(b if chr(b).isalnum() and b < 128 else 32 for b in range(256))
 
 
 def folded(text: str) -> str:
@@ -32,20 +35,42 @@ def folded(text: str) -> str:
     if not text.isascii():
         text = _MARKS.sub("", unicodedata.normalize("NFKD", _JOINER.sub("", text)))
         text = text.lower().replace("ß", "ss").translate(LOOK_ALIKES)
-    return _EMPHASIS.sub("", text).lower()
+    for mark in _EMPHASIS:
+        if mark in text:
+            text = text.replace(mark, "")
+    return text.lower()
 
 
-def words(text: str | None, known: Container[str] = ()) -> list[str]:
-    """The words of a whole text. A word broken by a hyphen at a line's end is joined, unless its parts are known
-    words and the whole is not. Null gives none."""
+def _plain_words(text: str) -> list[str]:
+    return text.encode().translate(_PLAIN).decode().split() if text.isascii() else _WORD.findall(text)
+
+
+def tokens(text: str | None) -> tuple[list[str], list[int]]:
+    """The words of a whole text, and the places of those that a hyphen at a line's end parts from the next one. Of breaks that
+    follow one another only every other counts. Null gives none."""
     if not text:
-        return []
+        return [], []
     text = folded(text)
-    if "\n" in text:
+    parts = _BREAK.split(text) if "\n" in text else [text]
+    out = _plain_words(parts[0])
+    breaks: list[int] = []
+    for p in parts[1:]:
+        if not breaks or breaks[-1] != len(out) - 2:
+            breaks.append(len(out) - 1)
+        out += _plain_words(p)
+    return out, breaks
 
-        def join(m):
-            a, b = m.group(1), m.group(2)
-            return f"{a} {b}" if a + b not in known and a in known and b in known else a + b
 
-        text = _BROKEN.sub(join, text)
-    return _WORD.findall(text)
+def is_one_word(a: str, b: str, known: Container[str]) -> bool:
+    """Whether the parts of a broken word are one: not if they are known words and the whole is not."""
+    return a + b in known or a not in known or b not in known
+
+
+def words(text: str | None, known: Container[str] = ()) -> list[str]:
+    """The words of a whole text. A word broken by a hyphen at a line's end is joined, unless its parts are known
+    words and the whole is not. Null gives none."""
+    out, breaks = tokens(text)
+    for p in reversed(breaks):
+        if is_one_word(out[p], out[p + 1], known):
+            out[p : p + 2] = [out[p] + out[p + 1]]
+    return out

@@ -1,6 +1,7 @@
 """Clusters of traces, leaked passages, subjects."""
 
 import random
+import shutil
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -258,6 +259,28 @@ def test_adjacent_changes_do_not_hide_a_stretch(spark):
     assert {(r["doc_id"], r["item_id"]): r["n_words"] for r in leaks.leaks(d, q).collect()} == want
 
 
+def test_a_stored_index_serves_other_items_without_the_texts(spark, tmp_path):
+    items, docs, want = _passages()
+    items.append((50, "alpha beta " * 6 + "the low level of the inter polation interpolation " + "gamma delta " * 6))
+    broken = [(700, "alpha beta " * 6 + "the low-\nlevel of the inter-\n polation inter-\npolation " + "gamma delta " * 6)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(docs + broken, "doc_id bigint, text string").repartition(3).write.parquet(path)
+    index = leaks.build_index(spark.read.parquet(path), Scratch(spark, "t"))
+    shutil.rmtree(path)
+    first, rest = items[:4], items[4:]
+    got = [{(r["doc_id"], r["item_id"]): r["n_words"] for r in leaks.search(index, spark.createDataFrame(q, "item_id bigint, text string")).collect()} for q in (first, rest)]
+    assert {k for g in got for k in g} == want | {(700, 50)} and got[1][700, 50] >= 27
+    assert {i for _, i in got[0]} <= {i for i, _ in first}
+
+
+def test_posting_lists_round_trip():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 7, 5000):
+        v = (rng.random(n) * 2.0 ** rng.integers(0, 34, n)).astype(np.int64)
+        data, size = leaks.packed(v)
+        assert (leaks.unpacked(data) == v).all() and size.sum() == len(data)
+
+
 def test_reach_equals_edit_distance():
     rng = random.Random(3)
     for _ in range(200):
