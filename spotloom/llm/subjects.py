@@ -1,8 +1,8 @@
 """Subject areas of documents (problem 10): labelling functions and a latent model that learns their accuracies.
 
-Five labelling functions vote on each sentence, or abstain: its words, its phrases, addresses in it, its section (heading
-and kind of document) and the source. Their lexicons are fitted on a bounded sample of labelled documents. The votes of
-all sentences of the corpus are counted by vote pattern; on these counts EM learns, without labels, how often each function
+Five labelling functions vote on each sentence, or abstain: its words, its phrases, addresses in it (whole, hosts and steps of paths), its
+section (heading, words of the heading, kind of document) and the source. Their lexicons are fitted on a bounded sample of labelled
+documents and on the titles and scopes of the subjects. The votes of all sentences of the corpus are counted by vote pattern; on these counts EM learns, without labels, how often each function
 abstains and how often it is right, for sentences of a subject and for those of none. A document's subjects are those that
 at least a share of its sentences most probably treat.
 """
@@ -29,16 +29,22 @@ SHARE = 0.2
 #: Least labelled documents with a term, pseudo-count, least divergence of its subjects from the usual ones in documents and
 #: in sentences (as a share of the largest there can be), rounds of re-estimation, usual share of stray sentences.
 LEAST, SMOOTH, IN_DOCS, IN_SENTENCES, ROUNDS, STRAY = 2, 3.0, 0.14, 0.23, 4, 0.15
+#: Documents whose sentences are scored together.
+DOCUMENTS_AT_ONCE = 256
 FUNCTIONS = ("words", "phrases", "addresses", "section", "source")
+#: Patterns up to which their table is broadcast.
+PATTERNS = 1_000_000
 #: How often, at least, words and phrases abstain on a sentence of no subject: a telling term is seldom there by chance.
 QUIET = 0.97
 
 _ITEM = regex.compile(r"^\s*(?:>+\s*)?(?:\d{1,2}:\d{2}(?::\d{2})?\s+(?:[a-z]{3,8}\s+)?|\(?\d+[.)]\s+|[-*•+]\s+)+")
 _HEADING = regex.compile(r"^\s*#+\s*(.*)$")
-_END = regex.compile(r"(?<=[.?!…])[\"'»”)]*\s+")
-_COMPLETE = regex.compile(r"[.?!…][\"'»”)\s]*$")
+_END = re.compile(r"([.?!…])[\"'»”)]*\s+")
+_CLOSING = "\"'»”)" + "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 _ANSWER = regex.compile(r"^(?:a:|the ones? )")
 _NAME = re.compile(r"[^\W\d_]+")
+_ENDS = frozenset(".?!…")
+_TWO_NAMES = re.compile(r"[^\W\d_][\W\d_]+[^\W\d_]")
 _ADDRESS = regex.compile(r"(?:https?://|www\.)[^\s/]+|[\w.+-]+@[\w-]+\.[\w.-]+|(?:/[\w.-]+){2,}")
 
 
@@ -57,8 +63,11 @@ def sentences(text: str | None) -> list[tuple[str, str]]:
         if "\t" in line or "|" in line:
             continue
         asked = False
-        for s in _END.split(_ITEM.sub("", line).strip()):
-            if len(_NAME.findall(s)) < 2 or not _COMPLETE.search(s):
+        line, at = _ITEM.sub("", line).strip(), 0
+        ends = [(m.end(1), m.end()) for m in _END.finditer(line)]
+        for end, after in (*ends, (len(line), 0)):
+            s, at = line[at:end], after
+            if s.rstrip(_CLOSING)[-1:] not in _ENDS or not _TWO_NAMES.search(s):
                 continue
             if asked and _ANSWER.match(s):
                 out[-1] = (f"{out[-1][0]} {s}", heading)
@@ -68,10 +77,18 @@ def sentences(text: str | None) -> list[tuple[str, str]]:
     return out
 
 
+def address_parts(address: str) -> list[str]:
+    """An address, its host or mail domain and the domains above it but the last, and the steps of its path."""
+    head, _, path = address.removeprefix("https://").removeprefix("http://").removeprefix("www.").partition("/")
+    host = head.rpartition("@")[2].split(".")
+    return [address, *(f"@{'.'.join(host[k:])}" for k in range(len(host) - 1)), *(f"/{step}" for step in path.split("/") if step)]
+
+
 def features(sentence: str) -> tuple[list[str], list[str], list[str]]:
     """Words, phrases of two words, addresses."""
     w = _NAME.findall(sentence)
-    return list(dict.fromkeys(w)), list(dict.fromkeys(f"{a} {b}" for a, b in pairwise(w))), _ADDRESS.findall(sentence) if "/" in sentence or "@" in sentence or "www." in sentence else []
+    found = _ADDRESS.findall(sentence) if "/" in sentence or "@" in sentence or "www." in sentence else []
+    return list(dict.fromkeys(w)), list(dict.fromkeys(f"{a} {b}" for a, b in pairwise(w))), list(dict.fromkeys(p for a in found for p in address_parts(a)))
 
 
 class Lexicon:
@@ -144,17 +161,37 @@ class Labeller:
     @staticmethod
     def parts(sentence: str, heading: str, kind: str | None, source: str | None) -> tuple[list[str], ...]:
         w, p, a = features(sentence)
-        return w, p, a, [f"{kind}: {heading}"], [source or ""]
-
-    def votes(self, text: str | None, kind: str | None, source: str | None) -> list[int]:
-        """A number per sentence: the votes as digits to the base subjects + 1, 0 for an abstention."""
-        out = []
-        for s, h in sentences(text):
-            code = 0
-            for name, terms in zip(FUNCTIONS, self.parts(s, h, kind, source), strict=True):
-                x = self.lexicons[name].score(terms)
-                code = code * (self.subjects + 1) + (0 if x is None else int((x + np.log(self.usual)).argmax()) + 1)
-            out.append(code)
+        section = [f"kind {kind}"] if kind else []
+        if heading:
+            section += [f"heading {heading}", *dict.fromkeys(_NAME.findall(heading))]
+        return w, p, a, section, [source] if source else []
+
+    def votes(self, docs: list[tuple[str | None, str | None, str | None]]) -> list[np.ndarray]:
+        """For each document (text, kind, source) a number per sentence: the votes as digits to the base subjects + 1, 0 for an
+        abstention."""
+        rows = [{t: i for i, t in enumerate(self.lexicons[f].odds)} for f in FUNCTIONS]
+        odds = [np.array(list(self.lexicons[f].odds.values())).reshape(-1, self.subjects) for f in FUNCTIONS]
+        out: list[np.ndarray] = []
+        for first in range(0, len(docs), DOCUMENTS_AT_ONCE):
+            hits, counts, sizes = [[] for _ in FUNCTIONS], [[] for _ in FUNCTIONS], []
+            for text, kind, source in docs[first : first + DOCUMENTS_AT_ONCE]:
+                said = sentences(text)
+                sizes.append(len(said))
+                for s, h in said:
+                    for known, terms, at, n in zip(rows, self.parts(s, h, kind, source), hits, counts, strict=True):
+                        found = [r for t in terms if (r := known.get(t)) is not None] if known else ()
+                        at += found
+                        n.append(len(found))
+            code = np.zeros(sum(sizes), np.int64)
+            for table, at, n in zip(odds, hits, counts, strict=True):
+                held = np.array(n, np.int64)
+                some = held > 0
+                vote = np.zeros(len(held), np.int64)
+                if some.any():
+                    score = np.add.reduceat(table[at], (np.cumsum(held) - held)[some], axis=0)
+                    vote[some] = (score + np.log(self.usual)).argmax(1) + 1
+                code = code * (self.subjects + 1) + vote
+            out += np.split(code, np.cumsum(sizes)[:-1])
         return out
 
 
@@ -164,68 +201,92 @@ def decode(codes: np.ndarray, subjects: int) -> np.ndarray:
     return np.stack([codes // base**i % base for i in reversed(range(len(FUNCTIONS)))], 1)
 
 
-def latent_model(votes: np.ndarray, weight: np.ndarray, subjects: int, rounds: int = 40) -> np.ndarray:
-    """Posterior of (none, subject 1, ...) for each vote pattern, by EM over the patterns and their counts.
+def latent_model(votes: np.ndarray, weight: np.ndarray, subjects: int, rounds: int = 40, at_once: int = 65536) -> np.ndarray:
+    """The most probable class of each vote pattern (0: none, else the number of the subject), by EM over the patterns and their counts.
 
     Of each function it learns the rate of abstention for sentences of no subject and of any, its accuracy where there
     is a subject, and what it votes where there is none; and how common each class is. Nothing here knows a label.
     """
-    n, m = votes.shape
-    silent = votes == 0
+    m = votes.shape[1]
     none_silent, some_silent, right = np.full(m, 0.5), np.full(m, 0.5), np.full(m, 0.6)
     none_silent[:2], some_silent[:2], right[:2] = QUIET, 0.1, 0.9
     stray = np.full((m, subjects), 1 / subjects)
     prior = np.r_[0.3, np.full(subjects, 0.7 / subjects)]
-    post = np.zeros((n, subjects + 1))
-    for _ in range(rounds):
-        logp = np.tile(np.log(prior), (n, 1))
+
+    def posterior(votes: np.ndarray) -> np.ndarray:
+        logp = np.tile(np.log(prior), (len(votes), 1))
         for j in range(m):
-            v = np.maximum(votes[:, j] - 1, 0)
-            logp[:, 0] += np.where(silent[:, j], np.log(none_silent[j]), np.log1p(-none_silent[j]) + np.log(stray[j, v]))
+            v, silent = np.maximum(votes[:, j] - 1, 0), votes[:, j] == 0
+            logp[:, 0] += np.where(silent, np.log(none_silent[j]), np.log1p(-none_silent[j]) + np.log(stray[j, v]))
             hit = np.log1p(-some_silent[j]) + np.where(votes[:, j, None] == np.arange(1, subjects + 1), np.log(right[j]), np.log((1 - right[j]) / max(1, subjects - 1)))
-            logp[:, 1:] += np.where(silent[:, j, None], np.log(some_silent[j]), hit)
+            logp[:, 1:] += np.where(silent[:, None], np.log(some_silent[j]), hit)
         post = np.exp(logp - logp.max(1, keepdims=True))
-        post /= post.sum(1, keepdims=True)
-        w = post * weight[:, None]
-        prior = (w.sum(0) + 1) / (w.sum() + subjects + 1)
-        none, some = w[:, 0], w[:, 1:].sum(1)
+        return post / post.sum(1, keepdims=True)
+
+    blocks = [slice(i, i + at_once) for i in range(0, len(votes), at_once)]  # many patterns need no large matrix
+    for _ in range(rounds):
+        classes, spoke, hits = np.zeros(subjects + 1), np.zeros((m, 2)), np.zeros(m)
+        strays = np.zeros((m, subjects))
+        for part in blocks:
+            v = votes[part]
+            w = posterior(v) * weight[part, None]
+            none, some = w[:, 0], w[:, 1:].sum(1)
+            classes += w.sum(0)
+            for j in range(m):
+                said = v[:, j] > 0
+                spoke[j] += none[said].sum(), some[said].sum()
+                hits[j] += w[np.flatnonzero(said), v[said, j]].sum()
+                strays[j] += np.bincount(v[said, j] - 1, none[said], subjects)
+        none, some = classes[0], classes[1:].sum()
+        prior = (classes + 1) / (classes.sum() + subjects + 1)
         for j in range(m):
-            none_silent[j] = np.clip((none[silent[:, j]].sum() + 1) / (none.sum() + 2), QUIET if j < 2 else 0.01, 0.99)
-            some_silent[j] = np.clip((some[silent[:, j]].sum() + 1) / (some.sum() + 2), 0.01, 0.99)
-            said = ~silent[:, j]
-            hits = w[np.flatnonzero(said), votes[said, j]].sum()
-            right[j] = np.clip((hits + 1) / (some[said].sum() + 2), 1 / subjects, 0.99)
+            none_silent[j] = np.clip((none - spoke[j, 0] + 1) / (none + 2), QUIET if j < 2 else 0.01, 0.99)
+            some_silent[j] = np.clip((some - spoke[j, 1] + 1) / (some + 2), 0.01, 0.99)
+            right[j] = np.clip((hits[j] + 1) / (spoke[j, 1] + 2), 1 / subjects, 0.99)
             if j >= 2:  # a chance hit of a telling term favours no subject
-                stray[j] = (np.bincount(votes[said, j] - 1, none[said], subjects) + 1) / (none[said].sum() + subjects)
-    return post
+                stray[j] = (strays[j] + 1) / (spoke[j, 0] + subjects)
+    return np.concatenate([posterior(votes[part]).argmax(1) for part in blocks]) if blocks else np.zeros(0, int)
+
+
+def described(*texts: str | None) -> str:
+    """The title and scope of a subject as a text of sentences."""
+    return "\n".join(f"{t.strip().rstrip('.')}." for t in texts if t and t.strip())
 
 
 def subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, scratch: Scratch, share: float = SHARE, labelled: int = LABELLED) -> DataFrame:
     """(doc_id, subject_code, share): subjects that at least `share` of a document's sentences treat.
 
-    docs: doc_id, text, kind, source; areas: subject_code (the closed list of subjects); labels: doc_id, subject_code, of which
+    docs: doc_id, text, kind, source; areas: subject_code (the closed list of subjects), title and scope if they are there, which count like
+    LEAST labelled documents; labels: doc_id, subject_code, of which
     at most `labelled` documents are used. Whole texts are read. Null and empty texts, and texts without a sentence, give no row;
     neither do subjects outside the list. Without any usable label no function can vote, and there are no rows.
+    The list of subjects is read to the driver, and the patterns of votes: no more than the documents' sentences show, and no more than
+    (subjects + 1)^5.
     """
-    codes = sorted({r[0] for r in areas.select("subject_code").where("subject_code is not null").distinct().collect()})
+    more = [c for c in ("title", "scope") if c in areas.columns]
+    texts = areas.select("subject_code", *more).where("subject_code is not null").distinct().sort("subject_code", *more).collect()
+    codes = sorted({r[0] for r in texts})
     number = {c: k for k, c in enumerate(codes)}
     marked = labels.where(F.col("subject_code").isin(codes)).groupBy("doc_id").agg(F.collect_set("subject_code").alias("subject_codes"))
     picked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    sample = docs.select("doc_id", "text", "kind", "source").join(F.broadcast(picked), "doc_id").select("text", "kind", "source", "subject_codes")
-    labeller = Labeller([(t, k, s, {number[c] for c in cs}) for t, k, s, cs in sample.toLocalIterator()], max(1, len(codes)))
+    sample = docs.select("doc_id", "text", "kind", "source").join(F.broadcast(picked), "doc_id").orderBy("doc_id", "text", "kind", "source")
+    told = [(t, k, s, {number[c] for c in cs}) for _, t, k, s, cs in sample.toLocalIterator()]
+    if told:
+        told += [(described(*r[1:]), None, None, {number[r[0]]}) for r in texts] * LEAST
+    labeller = Labeller(told, max(1, len(codes)))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [labeller.votes(*r) for r in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["doc_id", "votes"])
+            rows = labeller.votes(list(zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "votes"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    voted = scratch.save(docs.where("doc_id is not null").select("doc_id", "text", "kind", "source").mapInArrow(vote, f"doc_id {kind}, votes array<int>"))
+    voted = scratch.save(docs.where("doc_id is not null").select("doc_id", "text", "kind", "source").mapInArrow(vote, f"doc_id {kind}, votes array<bigint>"))
     # at most (subjects + 1)^5 patterns, whatever the corpus
     patterns = voted.select(F.explode("votes").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n")).orderBy("code").collect()
     code, n = np.array([r["code"] for r in patterns], np.int64), np.array([r["n"] for r in patterns], float)
-    best = latent_model(decode(code, len(codes)), n, len(codes)).argmax(1) if len(code) and codes else np.zeros(len(code), int)
-    table = docs.sparkSession.createDataFrame([(int(c), codes[k - 1]) for c, k in zip(code, best, strict=True) if k], "code int, subject_code string")
-    told = voted.select("doc_id", F.size("votes").alias("n"), F.explode("votes").alias("code")).join(F.broadcast(table), "code")
+    best = latent_model(decode(code, len(codes)), n, len(codes)) if len(code) and codes else np.zeros(len(code), int)
+    table = docs.sparkSession.createDataFrame([(int(c), codes[k - 1]) for c, k in zip(code, best, strict=True) if k], "code bigint, subject_code string")
+    told = voted.select("doc_id", F.size("votes").alias("n"), F.explode("votes").alias("code")).join(F.broadcast(table) if len(code) <= PATTERNS else table, "code")
     shares = told.groupBy("doc_id", "subject_code", "n").agg((F.count(F.lit(1)) / F.col("n")).alias("share"))
     return shares.where(F.col("share") >= share - 1e-9).select("doc_id", "subject_code", "share")

@@ -342,6 +342,50 @@ def test_subjects_of_held_out_documents(spark):
     assert sum(got.get(i, set()) == truth[i] for i in held) / len(held) >= 0.98
 
 
+def test_every_function_votes_where_it_can_tell():
+    told, subjects_ = [], 3
+    for i in range(60):
+        k = i % subjects_
+        lines = [f"## {['Lens', 'Buffer', 'Seam'][k]} report {i % 7}", f"The {'abc'[k]}term and the plain part {i} were seen.", "It is there, as the usual thing went.", f"Look at https://{['lens', 'wet', 'seam'][k]}.example.org/x{i}/file or ask someone."]
+        told.append(("\n".join(lines), f"kind{i % 2}", f"folder{k}", {k}))
+    labeller = subjects.Labeller(told, subjects_)
+    votes = [subjects.decode(v, subjects_) for v in labeller.votes([(t, k, s) for t, k, s, _ in told])]
+    for f, name in enumerate(subjects.FUNCTIONS):
+        said = [(v[:, f], next(iter(s)) + 1) for v, (*_, s) in zip(votes, told, strict=True)]
+        assert any(v.any() for v, _ in said), name
+        assert all(set(v[v > 0]) <= {k} for v, k in said), name
+    assert subjects.address_parts("https://www2.lens.example.org/a/b") == ["https://www2.lens.example.org/a/b", "@www2.lens.example.org", "@lens.example.org", "@example.org", "/a", "/b"]
+
+
+def test_two_hundred_subjects(spark):
+    docs = [(i, f"The {_word(i % 200)} and the {_word(i % 200)}x were checked. Both {_word(i % 200)}y are fine.", None, None) for i in range(800)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string, kind string, source string")
+    areas = spark.createDataFrame([(f"s{k:03}", None) for k in range(200)], "subject_code string, title string")
+    labels = spark.createDataFrame([(i, f"s{i % 200:03}") for i in range(600)], "doc_id bigint, subject_code string")
+    got = {(r["doc_id"], r["subject_code"]) for r in subjects.subjects(d, areas, labels, Scratch(spark, "t")).collect()}
+    assert got == {(i, f"s{i % 200:03}") for i in range(800)}
+
+
+def _word(k):
+    return "q" + "".join("abcdefghij"[int(c)] for c in f"{k:03}")
+
+
+def test_blocks_of_patterns_change_nothing():
+    rng = np.random.default_rng(3)
+    votes, weight = rng.integers(0, 4, (500, 5)), rng.integers(1, 50, 500).astype(float)
+    assert (subjects.latent_model(votes, weight, 3) == subjects.latent_model(votes, weight, 3, at_once=37)).all()
+
+
+def test_titles_and_scopes_help_where_labels_are_few(spark):
+    docs, truth = _corpus()
+    d = spark.createDataFrame(docs, "doc_id bigint, text string, kind string, source string")
+    labels = spark.createDataFrame([(i, s) for i in range(6) for s in truth[i]], "doc_id bigint, subject_code string")
+    bare = spark.createDataFrame([(f"s{k}",) for k in range(3)], "subject_code string")
+    named = spark.createDataFrame([(f"s{k}", f"About {t}aterm and {t}bterm", f"Also {t}cterm, {t}dterm, {t}eterm, {t}fterm, {t}gterm.") for k, t in enumerate(("op", "ch", "re"))], "subject_code string, title string, scope string")
+    right = [sum((r["doc_id"], r["subject_code"]) in {(i, s) for i, x in truth.items() for s in x} for r in subjects.subjects(d, a, labels, Scratch(spark, "t")).collect()) for a in (bare, named)]
+    assert right[1] > 200 > right[0]
+
+
 def test_subjects_without_labels_or_documents(spark):
     docs, _ = _corpus(5)
     d = spark.createDataFrame(docs, "doc_id bigint, text string, kind string, source string")
