@@ -319,10 +319,10 @@ def pursue_many(y: np.ndarray, genes: np.ndarray, background: np.ndarray, *, tol
     return out
 
 
-def decode_pixels(df: DataFrame, keys: list[str], vector: str, names: list[str], genes: np.ndarray, background: np.ndarray, least_intensity: float = 0.0, at_once: int = 2048, **options) -> DataFrame:
+def decode_pixels(df: DataFrame, keys: list[str], vector: str, names: list[str], genes: np.ndarray, background: np.ndarray | None, least_intensity: float = 0.0, at_once: int = 2048, many: Callable[..., np.ndarray] = pursue_many, **options) -> DataFrame:
     """keys, gene, coefficient for the non-zero coefficients of each pixel; dim pixels (mean |v| not above
     least_intensity), and null, short or NaN vectors give no row. The dictionary has the size of the codebook and goes with the tasks;
-    pixels are pursued at_once of them together."""
+    `many` decodes at_once pixels together."""
     head = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     n, dims, titles = len(keys), genes.shape[1], np.array(names, object)
 
@@ -334,7 +334,7 @@ def decode_pixels(df: DataFrame, keys: list[str], vector: str, names: list[str],
                 right = np.flatnonzero(np.asarray(pc.fill_null(pc.list_value_length(v), -1)) == dims)
                 y = np.asarray(v.take(pa.array(right)).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False), float).reshape(-1, dims)
                 good = np.isfinite(y).all(1) & (np.abs(y).mean(1) > least_intensity) if len(y) else np.zeros(0, bool)
-                c = pursue_many(y[good], genes, background, **options)
+                c = many(y[good], genes, background, **options)
                 row, gene = np.nonzero(c)
                 at = pa.array(right[good][row])
                 yield pa.RecordBatch.from_arrays([*(b.column(i).take(at) for i in range(n)), pa.array(titles[gene].tolist(), pa.string()), pa.array(c[row, gene])], names=[*keys, "gene", "coefficient"])

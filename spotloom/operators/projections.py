@@ -55,7 +55,7 @@ def within(df: DataFrame, limits: dict[str, tuple[float | None, float | None]])
 
 def every_kth(df: DataFrame, key: str, k: int) -> DataFrame:
     """A repeatable sample: rows whose hashed key falls into one of k parts. A sampling operator; a feature, not a shortcut."""
-    return df.where(F.pmod(F.crc32(F.col(key).cast("string")), F.lit(k)) == 0)
+    return df.where(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint") % k == 0)
 
 
 def colour_map(pixels: DataFrame, keys: list[str], value: str, channel: str, colours: list[tuple[float, float, float]], low: float, high: float) -> DataFrame:

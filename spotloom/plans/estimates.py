@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from spotloom.functions.arrays import has_nan
 from spotloom.operators import estimators as est
 from spotloom.operators.calling import base_centroids, centroid_cube
+from spotloom.operators.stacks import plain_pursuit_many
+from spotloom.plans.rasters import _T
+from spotloom.plans.spots import _BOOK, _TRACES
 from spotloom.session import Scratch
 from spotloom.sources.tables import barcode_spots, codebook, once_per_spot, table
 
@@ -85,14 +88,35 @@ def omp_decode(spark: SparkSession, folder: str) -> DataFrame:
     return d.groupBy("gene").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("coefficient"), 4).alias("mean_coefficient"))
 
 
+def plain_omp(spark: SparkSession, folder: str) -> DataFrame:
+    """The gene of each barcode trace's first seven rounds that plain pursuit takes first, where it explains more than a twentieth."""
+    t = Scratch(spark, "plain").save(once_per_spot(barcode_spots(spark, folder).where("trace is not null and sequence is not null"), "trace", "sequence"))
+    cube = np.nan_to_num(centroid_cube(base_centroids(t), CODE_ROUNDS))
+    book = codebook(spark, folder).where(f"gene is not null and length(seq) = {CODE_ROUNDS}").orderBy("ord").collect()
+    genes = est.gene_templates(cube, [b["seq"] for b in book])
+    flat = t.select("spot_id", F.flatten(F.slice("trace", 1, CODE_ROUNDS)).alias("v"))
+    d = est.decode_pixels(flat, ["spot_id"], "v", [b["gene"] for b in book], genes, None, many=plain_pursuit_many, most=1)
+    return d.groupBy("gene").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("coefficient"), 4).alias("mean_coefficient"))
+
+
 def embedding_pca(spark: SparkSession, folder: str) -> DataFrame:
     _, v = est.principal_components(table(spark, folder, "embeddings"), "embedding", 64, 5)
     return spark.createDataFrame([(i, round(float(x), 6)) for i, x in enumerate(v)], "component int, variance double")
 
 
-QUERIES = {f.__name__: f for f in (unmix_regression, unmixed_pixels, log_linear_fit, ransac_plane, least_squares_map, scaled_kmeans, gmm_cells, omp_decode, embedding_pca)}
+QUERIES = {f.__name__: f for f in (unmix_regression, unmixed_pixels, log_linear_fit, ransac_plane, least_squares_map, scaled_kmeans, gmm_cells, omp_decode, plain_omp, embedding_pca)}
 
 ORACLES = {
+    "log_linear_fit": f"""with {_T}, a as (select c, round, avg(v) as v from t group by all), l as (select c, round, ln(v) as y from a where v > 0),
+      m as (select c, avg(round) as r, avg(y) as y from l group by c), k as (select sum((l.round - m.r) * (l.y - m.y)) / sum((l.round - m.r) * (l.round - m.r)) as k from l join m using (c))
+      select 'slope' as term, round(k, 5) as value from k union all select 'c' || c, round(y - k * r, 5) from m, k""",
+    "plain_omp": f"""with {_TRACES}, {_BOOK}, first as (select * from t where round < {CODE_ROUNDS}), good as (select spot_id, sqrt(sum(a*a+b*b+c*c+d*d)) as size from first group by spot_id having count(*) = {CODE_ROUNDS} and not bool_or(isnan(a) or isnan(b) or isnan(c) or isnan(d))),
+      dots as (select spot_id, f.round, m.base, a*c0+b*c1+c*c2+d*c3 as dot from first f semi join good using (spot_id) join m on f.round = m.round),
+      codes as (select ord, gene, unnest(range({CODE_ROUNDS}))::int as round, seq from book where gene is not null and length(seq) = {CODE_ROUNDS}), bases as (select ord, gene, round, strpos('GTAC', seq[round + 1]) - 1 as base from codes),
+      norms as (select ord, any_value(gene) as gene, sqrt(sum(c0*c0+c1*c1+c2*c2+c3*c3)) as l from bases left join m using (round, base) group by ord),
+      scores as (select spot_id, ord, sum(dot) as s from dots join bases using (round, base) group by all), p as (select spot_id, ord, gene, s / l as s, row_number() over (partition by spot_id order by round(abs(s / l), 9) desc, ord) as place from scores join norms using (ord)),
+      q as (select gene, s from p join good using (spot_id) where place = 1 and size > 0 and size - sqrt(greatest(size * size - s * s, 0)) > 0.05 * size)
+      select gene, count(*) as n, round(avg(s), 4) as mean_coefficient from q group by gene""",
     "unmix_regression": """select l_returnflag, l_linestatus, round(greatest(regr_slope(l_extendedprice, l_quantity), 0), 4) as slope,
       round(case when regr_slope(l_extendedprice, l_quantity) < 0 then avg(l_extendedprice) else regr_intercept(l_extendedprice, l_quantity) end, 3) as intercept from lineitem group by 1, 2""",
     "unmixed_pixels": """with p as (select l_returnflag, l_extendedprice / 25 as s, l_quantity as b from lineitem), a as (select * from p where s > 0 and s < 4090 and b > 0 and b < 4090),

@@ -43,12 +43,12 @@ def acquisition_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stage_positions(spark: SparkSession, path: str, xy_stage: str = "XYStage", z_stage: str = "ZDrive") -> DataFrame:
-    """tile order from a JSON position list: label, row, col, x, y, z, place. A repeated tile is an error."""
+    """tile order from JSON position lists: path, label, row, col, x, y, z, place. A repeated tile in a list is an error."""
     schema = "array<struct<Label:string,GridRow:int,GridCol:int,DevicePositions:array<struct<Device:string,Position_um:array<double>>>>>"
-    t = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json(F.get_json_object("value", "$.StagePositions"), schema)).alias("place", "p"))
+    t = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.from_json(F.get_json_object("value", "$.StagePositions"), schema)).alias("place", "p"))
     at = lambda stage, i: F.get(F.filter("p.DevicePositions", lambda d: d["Device"] == stage), F.lit(0))["Position_um"][i]
-    out = t.select(F.col("p.Label").alias("label"), F.col("p.GridRow").alias("row"), F.col("p.GridCol").alias("col"), at(xy_stage, 0).alias("x"), at(xy_stage, 1).alias("y"), at(z_stage, 0).alias("z"), "place")
-    if out.groupBy("row", "col").count().where("count > 1").limit(1).count():
+    out = t.select("path", F.col("p.Label").alias("label"), F.col("p.GridRow").alias("row"), F.col("p.GridCol").alias("col"), at(xy_stage, 0).alias("x"), at(xy_stage, 1).alias("y"), at(z_stage, 0).alias("z"), "place")
+    if out.groupBy("path", "row", "col").count().where("count > 1").limit(1).count():
         raise ValueError("a tile has more than one position")
     return out
 

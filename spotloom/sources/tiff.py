@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -74,12 +75,17 @@ def write_pages(pages: list[np.ndarray], kind: str = "uint16", clip: bool = True
 
 
 SCHEMA = "path string, roi int, tx int, ty int, page int, h int, w int, v array<double>"
+COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 NAMES = re.compile(r"_MMStack_(\d+)-Pos(\d+)_(\d+)")
 
 
-class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+#: Bytes of files that one task reads, if there are enough of them, and the number of tasks that is aimed at otherwise.
+TASK_BYTES, TASKS = 64 << 20, 64
+
+
+class _Files(InputPartition):
+    def __init__(self, paths: list[str]):
+        self.paths = paths
 
 
 class _Reader(DataSourceReader):
@@ -87,14 +93,24 @@ class _Reader(DataSourceReader):
         self.root, self.glob = options["path"].removeprefix("file://"), options.get("glob", "**/*.tif")
 
     def partitions(self) -> list[InputPartition]:
-        return [_File(str(p)) for p in sorted(Path(self.root).glob(self.glob))] or [_File("")]
-
-    def read(self, partition: _File) -> Iterator[tuple]:
-        if partition.path:
-            m = NAMES.search(partition.path)
+        """Neighbouring files together, up to TASK_BYTES a task: one task a file would cost more than reading small files does."""
+        found = [(str(p), p.stat().st_size) for p in sorted(Path(self.root).glob(self.glob))]
+        most = min(TASK_BYTES, sum(n for _, n in found) / TASKS)
+        parts, held = [[]], 0
+        for path, n in found:
+            if parts[-1] and held + n > most:
+                parts, held = [*parts, []], 0
+            parts[-1].append(path)
+            held += n
+        return [_Files(p) for p in parts]
+
+    def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
+        for path in partition.paths:
+            m = NAMES.search(path)
             tile = tuple(map(int, m.groups())) if m else (None, None, None)
-            for i, p in enumerate(read_pages(Path(partition.path).read_bytes(), partition.path)):
-                yield (partition.path, *tile, i, *p.shape, p.astype(float).ravel().tolist())
+            for i, p in enumerate(read_pages(Path(path).read_bytes(), path)):
+                numbers = (pa.array([n], pa.int32()) for n in (*tile, i, *p.shape))
+                yield pa.RecordBatch.from_arrays([pa.array([path]), *numbers, pa.array([p.astype(float).ravel()], pa.list_(pa.float64()))], names=COLUMNS)
 
 
 class TiffPlanes(DataSource):
