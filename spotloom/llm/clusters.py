@@ -269,6 +269,7 @@ def leads(members: DataFrame, scratch: Scratch) -> DataFrame:
     """members with lead, the least id of the cluster."""
     saved = scratch.save(members)
     by = scratch.save(saved.groupBy("root").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("size")))
+    scratch.keep(saved, by)
     total = saved.count()
     large = [r["root"] for r in by.where(F.col("size") > max(1000, total // HUBS)).select("root").collect()]
     return skew_join(saved, by.select("root", "lead"), "root", large)

@@ -99,5 +99,6 @@ def groups(links: DataFrame, a: str, b: str, scratch: Scratch) -> DataFrame:
     roots = components(_ids(pairs, seed), scratch)
     named = scratch.save(roots.join(values, "u").select("root", "name"))
     firsts = scratch.save(named.groupBy("root").agg(F.min("name").alias("first"), F.count(F.lit(1)).alias("size")))
+    scratch.keep(named, firsts)
     large = [r["root"] for r in firsts.where(F.col("size") > max(1000, total // HUBS)).select("root").collect()]
     return skew_join(named, firsts, "root", large).select(F.col("name").alias("member"), "first", "size")

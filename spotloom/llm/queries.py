@@ -18,23 +18,38 @@ FIELDS = {"gene_spots.spot_score": (gene_spots, "spot_score"), "barcode_spots.do
 LEAST_SCORES, LOW = 20, ((50, 0.45), (90, 0.70))
 
 
+def _day_scores(spark: SparkSession, folder: str, field: str) -> DataFrame:
+    """field, roi, call_day, score."""
+    read, score = FIELDS[field]
+    rows = read(spark, folder).withColumn("score", valid_score(F.col(score))).where("score is not null and roi is not null and called_at is not null")
+    return once_per_spot(rows, "roi", F.to_date("called_at").alias("call_day"), "score").withColumn("field", F.lit(field))
+
+
 def _day_sketches(spark: SparkSession, folder: str) -> DataFrame:
     """field, roi, call_day, n, sketch."""
     out = None
-    for field, (read, score) in FIELDS.items():
-        rows = read(spark, folder).withColumn("score", valid_score(F.col(score))).where("score is not null and roi is not null and called_at is not null")
-        rows = once_per_spot(rows, "roi", F.to_date("called_at").alias("call_day"), "score").withColumn("field", F.lit(field))
-        s = quantiles.sketches(rows, ["field", "roi", "call_day"], "score").withColumn("call_day", F.col("call_day").cast("string"))
+    for field in FIELDS:
+        s = quantiles.sketches(_day_scores(spark, folder, field), ["field", "roi", "call_day"], "score").withColumn("call_day", F.col("call_day").cast("string"))
         out = s if out is None else out.unionByName(s)
     return out
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups whose percentile lies below its limit. Where the limit lies within the bounds of a sketched percentile, the group's scores below
+    the limit are counted."""
     q = quantiles.percentiles(_day_sketches(spark, folder).where(F.col("n") >= LEAST_SCORES), [p for p, _ in LOW])
-    low = F.lit(False)
-    for p, v in LOW:
-        low = low | ((F.col("pct") == p) & (F.col("value") < v))
-    return q.where(low).select("field", "roi", "call_day", "pct")
+    limit = F.lit(LOW[-1][1])
+    for p, v in LOW[:-1]:
+        limit = F.when(F.col("pct") == p, v).otherwise(limit)
+    q = Scratch(spark, "p1").save(q.withColumn("limit", limit))
+    open_ = (F.col("n") > quantiles.K) & (F.col("low") < F.col("limit")) & (F.col("high") >= F.col("limit"))
+    found = q.where(~open_ & (F.col("value") < F.col("limit"))).select("field", "roi", "call_day", "pct")
+    unsure = q.where(open_).select("field", "roi", "call_day", "pct", "limit", "n")
+    for r in unsure.select("field").distinct().collect():
+        rows = _day_scores(spark, folder, r["field"]).withColumn("call_day", F.col("call_day").cast("string"))
+        below = rows.join(unsure, ["field", "roi", "call_day"]).groupBy("field", "roi", "call_day", "pct", "n").agg(F.count_if(F.col("score") < F.col("limit")).alias("below"))
+        found = found.unionByName(below.where(F.col("below") >= F.ceil(F.col("pct") * F.col("n") / 100)).select("field", "roi", "call_day", "pct"))
+    return found
 
 
 def p1_roi_percentiles(spark: SparkSession, folder: str) -> DataFrame:
