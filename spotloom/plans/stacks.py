@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotloom.functions.arrays import has_nan
 from spotloom.operators import kernels, projections, raster, stacks
+from spotloom.operators.ordering import leaf_order
 from spotloom.operators.spatial import located
 from spotloom.plans import rasters
 from spotloom.plans.problems import SQL_GENE
@@ -22,6 +24,8 @@ TILE = stacks.TILE
 #: The finer planes of registration: 25 pixels each, 72 from one tile to the next, 80 wide; least pixels a strip's middle must have.
 FINE, FINE_STEP, FINE_SIDE, SURE = 25, 72, 80, 6
 LABEL_SIDE = 90
+#: Side of a roi's coordinate image, and pixels of the roi per pixel of it.
+ATLAS, ATLAS_STEP = 40, 500.0
 
 
 def _tile_pixels(spark: SparkSession, folder: str, rounds: list[int]) -> DataFrame:
@@ -218,6 +222,54 @@ def nearest_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return n.select("query", "id", "place", F.round("similarity", 5).alias("similarity"))
 
 
+def gene_leaf_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Genes in the leaf order of their counts by roi (as logarithms): the matrix has the size of the codebook times the rois."""
+    s = once_per_spot(gene_spots(spark, folder).where("gene is not null and roi is not null"), "gene", "roi").groupBy("gene", "roi").agg(F.count(F.lit(1)).alias("n"))
+    rows = s.collect()
+    genes, rois = sorted({r["gene"] for r in rows}), sorted({r["roi"] for r in rows})
+    x = np.zeros((len(genes), len(rois)))
+    for r in rows:
+        x[genes.index(r["gene"]), rois.index(r["roi"])] = np.log1p(r["n"])
+    return spark.createDataFrame([(genes[i], p) for p, i in enumerate(leaf_order(x))], "gene string, place int")
+
+
+def z_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Profile of a tile along its planes (here the rounds), written and scanned: standard deviation and 99.9th percentile of all pixels."""
+    p = _tile_planes(spark, folder, list(range(16)))
+    n = SIDE * SIDE
+    top, at = F.array_sort("v"), 0.999 * (n - 1)
+    value = F.get(top, F.lit(int(at))) + (F.get(top, F.lit(int(at) + 1)) - F.get(top, F.lit(int(at)))) * (at - int(at))
+    mean, square = _total() / n, F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x) / n
+    profile = p.select(*TILE, "c", F.col("round").alias("z"), F.round(F.sqrt(square - mean * mean), 4).alias("sd"), F.round(value, 4).alias("p999"))
+    return Scratch(spark, "zprofile").save(profile)
+
+
+def flat_field_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """The shading of each channel fitted to all tiles of the first round, as means of blocks of 10 x 10 pixels."""
+    scratch = Scratch(spark, "shading")
+    p = scratch.save(_tile_planes(spark, folder, [0]).select("c", F.transform("v", lambda v: v + 100.0).alias("v")))
+    rows = []
+    for c in range(4):
+        s = stacks.fit_flat_field(p.where(F.col("c") == c), SIDE, SIDE)
+        blocks = s.reshape(SIDE // 10, 10, SIDE // 10, 10).mean((1, 3))
+        rows += [(c, i, j, round(float(v), 3)) for (i, j), v in np.ndenumerate(blocks)]
+    return spark.createDataFrame(rows, "c int, by int, bx int, shading double")
+
+
+def atlas_coordinates(spark: SparkSession, folder: str) -> DataFrame:
+    """Spots at their place in the coordinate image of their roi, read from a file; spots beyond the image have none."""
+    scratch = Scratch(spark, "atlas")
+    grid = spark.range(ATLAS * ATLAS).select(F.floor(F.col("id") / ATLAS).cast("int").alias("y"), (F.col("id") % ATLAS).cast("int").alias("x"))
+    page = F.posexplode(F.array(F.col("x") / 16 + 1, F.col("y") / 16 + 1, F.col("roi") / 1.0)).alias("page", "v")
+    px = table(spark, folder, "cells").select("roi").distinct().join(grid).select("roi", "y", "x", page)
+    pages = kernels.planes_from_pixels(px, ["roi", "page"], ATLAS, ATLAS).withColumn("name", F.format_string("roi_%d/coordinates.tif", "roi"))
+    scans.write_files(scans.tiff_files(pages, "float32"), scratch.at)
+    image = scans.scan_coordinates(spark, scratch.at, "roi_(\\d+)/")
+    s = once_per_spot(located(gene_spots(spark, folder)), "roi", "x", "y").withColumns({"py": F.rint(F.col("y") / ATLAS_STEP).cast("int"), "px": F.rint(F.col("x") / ATLAS_STEP).cast("int")})
+    j = s.join(image.withColumnsRenamed({"y": "py", "x": "px"}), ["roi", "py", "px"], "left")
+    return j.groupBy("roi").agg(F.count(F.lit(1)).alias("n"), F.count("ara_x").alias("n_inside"), F.round(F.avg("ara_x"), 5).alias("ara_x"), F.round(F.avg("ara_y"), 5).alias("ara_y"), F.max("ara_z").alias("ara_z"))
+
+
 def tile_sink(spark: SparkSession, folder: str) -> DataFrame:
     """Spots written by tile and read again."""
     at = f"{Scratch(spark, 'sink').at}/spots"
@@ -270,6 +322,7 @@ def probe_channels(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     tiff_scan, round_scan, projection_difference, mask_scan, transform_scan, illumination_corrected, registered_tiles, adjacent_shifts, channel_round_shifts, merged_masks,
     roi_masks, gene_boxes, sampled_spots, nearest_embeddings, tile_sink, metadata_scan, stage_scan, annotation_scan, probe_channels,
+    gene_leaf_order, z_profile, flat_field_fit, atlas_coordinates,
 )}
 
 _TP = f"""t0 as (select spot_id, any_value(roi) as roi, any_value(tx) as tx, any_value(ty) as ty, any_value(x) as x, any_value(y) as y, any_value(trace) as trace from barcode_spots
@@ -323,6 +376,13 @@ ORACLES = {
     "sampled_spots": "with s as (select distinct spot_id, roi from gene_spots where spot_id is not null) select roi, count(*) as n from s where ('0x' || substr(md5(spot_id::varchar), 1, 8))::bigint % 10 = 0 group by roi",
     "nearest_embeddings": """with e as (select vec_id, embedding::double[] as v from embeddings), p as (select a.vec_id as query, b.vec_id as id, list_cosine_similarity(a.v, b.v) as s from e a, e b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
       r as (select *, row_number() over (partition by query order by round(s, 9) desc, id) as place from p) select query, id, place::int as place, round(s, 5) as similarity from r where place <= 5""",
+    "z_profile": f"""with {_TP}, a as (select roi, tx, ty, c, round as z, sqrt(sum(v * v) / {SIDE * SIDE} - (sum(v) / {SIDE * SIDE}) ** 2) as sd from tp group by all),
+      o as (select roi, tx, ty, c, round as z, v, row_number() over (partition by roi, tx, ty, c, round order by v desc) as k from tp),
+      p as (select roi, tx, ty, c, z, coalesce(max(v) filter (where k = 2), 0) as b, coalesce(max(v) filter (where k = 3), 0) as a from o group by all)
+      select roi, tx, ty, c, z, round(sd, 4) as sd, round(p.a + (p.b - p.a) * {0.999 * (SIDE * SIDE - 1) - int(0.999 * (SIDE * SIDE - 1))!r}::double, 4) as p999 from a join p using (roi, tx, ty, c, z)""",
+    "atlas_coordinates": f"""with {rasters._LOC}, s as (select roi, round_even(y / {ATLAS_STEP}, 0)::int as py, round_even(x / {ATLAS_STEP}, 0)::int as px from l), k as (select distinct roi from cells),
+      j as (select s.roi, px, py, k.roi is not null and px between 0 and {ATLAS - 1} and py between 0 and {ATLAS - 1} as ok from s left join k on s.roi = k.roi)
+      select roi, count(*) as n, count(*) filter (where ok) as n_inside, round(avg(case when ok then px / 16 + 1 end), 5) as ara_x, round(avg(case when ok then py / 16 + 1 end), 5) as ara_y, max(case when ok then roi::double end) as ara_z from j group by roi""",
     "tile_sink": f"with s as (select distinct spot_id, roi, tx, ty, {SQL_GENE} as gene from gene_spots where spot_id is not null and roi is not null and tx is not null and ty is not null) select roi, tx, ty, count(*) as n, count(gene) as n_genes from s group by all",
     "metadata_scan": "select distinct roi, roi * 0.125::double as pixel_size_um, roi / 4 as z_step_um from tile_shifts",
     "stage_scan": "select roi, tx, ty, tx * 1800.0::double as x, ty * 1800.0::double as y, roi::double as z, (row_number() over (partition by roi order by tx, ty) - 1)::int as place from tile_shifts",

@@ -132,6 +132,25 @@ def correction_image(spark: SparkSession, folder: str, prefix: str, projection:
     raise FileNotFoundError(f"no average image of {choices} in {root}")
 
 
+def scan_coordinates(spark: SparkSession, folder: str, group: str, upscale: int = 1) -> DataFrame:
+    """roi, y, x, ara_x, ara_y, ara_z of the coordinate images *coordinates.tif (three pages), whose roi a pattern finds in the path. Two files
+    of one roi, and an image that is all zero, are errors. upscale: each pixel stands for that many in both directions."""
+    root = local_root(folder)
+    names = [m.group(1) for p in root.rglob("*coordinates.tif") if (m := re.search(group, str(p)))]
+    if not names or len(names) != len(set(names)):
+        raise ValueError(f"{root}: each roi needs exactly one coordinate image")
+    t = tiff_planes(spark, str(root), "**/*coordinates.tif").withColumn("roi", F.regexp_extract("path", group, 1).cast("int"))
+    t = t.withColumn("v", F.when(F.exists("v", lambda v: v != 0), F.col("v")).otherwise(F.raise_error(F.concat(F.lit("a coordinate image is all zero: "), "path")).cast("array<double>")))
+    g = t.groupBy("roi").agg(F.first("w").alias("w"), *(F.max(F.when(F.col("page") == k, F.col("v"))).alias(n) for k, n in enumerate(("ara_x", "ara_y", "ara_z"))))
+    p = g.select("roi", "w", F.posexplode(F.arrays_zip("ara_x", "ara_y", "ara_z")).alias("k", "p"))
+    p = p.select("roi", F.floor(F.col("k") / F.col("w")).cast("int").alias("y"), (F.col("k") % F.col("w")).alias("x"), "p.*")
+    if upscale == 1:
+        return p
+    steps = F.explode(F.sequence(F.lit(0), F.lit(upscale - 1)))
+    p = p.withColumn("dy", steps).withColumn("dx", steps)
+    return p.withColumns({"y": F.col("y") * upscale + F.col("dy"), "x": F.col("x") * upscale + F.col("dx")}).drop("dy", "dx")
+
+
 def files_by_change(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """path, changed: files in the order in which they were last changed, then by name; contents are not read."""
     f = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(f"file://{local_root(folder)}")

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from spotloom.operators import kernels as k
 from spotloom.operators import stacks
+from spotloom.operators.ordering import leaf_order, ward_merges
+from spotloom.plans import stacks as queries_stacks
 from spotloom.sources import stacks as scans
 from spotloom.sources.tiff import tiff_planes
 
@@ -197,3 +199,62 @@ def test_regions_as_lists_of_pixels(spark):
     rois = stacks.rois_of(px, ["label"])
     assert {r["label"]: (r["ypix"], r["xpix"], r["npix"]) for r in rois.collect()} == {1: ([2, 2, 3], [4, 5, 4], 3), 2: ([0], [0], 1)}
     assert sorted(tuple(r) for r in stacks.mask_of(rois, ["label"]).collect()) == [(1, 2, 4), (1, 2, 5), (1, 3, 4), (2, 0, 0)]
+
+
+def test_flat_field_query_sees_a_shading(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(400):
+        tx, ty = divmod(i % 40, 8)
+        x, y = (int(v) for v in rng.integers(0, 2000, 2))
+        rows.append((i, 1, tx, ty, 1800 * tx + x, 1800 * ty + y, [[float(rng.uniform(50, 90))] * 4] * 2))
+    spark.createDataFrame(rows, "spot_id bigint, roi int, tx int, ty int, x int, y int, trace array<array<double>>").withColumns({"bases": F.lit("G"), "corrected_bases": F.lit("G")}).write.parquet(f"{tmp_path}/barcode_spots.parquet")
+    got = queries_stacks.flat_field_fit(spark, str(tmp_path)).collect()
+    assert len(got) == 4 * 16 and all(r["shading"] > 0.95 for r in got)  # an even field, though spots lie in it
+
+
+def test_leaf_order_is_the_best_of_the_tree():
+    rng = np.random.default_rng(9)
+
+    def turns(node, n, merges):
+        if node < n:
+            return [[node]]
+        a, b = (turns(c, n, merges) for c in merges[node - n])
+        return [s for p in a for q in b for s in (p + q, q + p)]
+
+    for n in (2, 3, 6, 8):
+        x = rng.random((n, 3))
+        length = lambda o, x=x: sum(np.linalg.norm(x[a] - x[b]) for a, b in zip(o, o[1:], strict=False))
+        got = leaf_order(x)
+        assert sorted(got) == list(range(n)) and abs(length(got) - min(map(length, turns(2 * n - 2, n, ward_merges(x))))) < 1e-9
+    assert leaf_order(np.zeros((1, 2))) == [0] and leaf_order(np.zeros((0, 2))) == [] and sorted(leaf_order(np.zeros((5, 2)))) == list(range(5))
+    tree = ward_merges(np.array([[0.0], [0.1], [5.0], [5.1], [20.0]]))
+    assert {frozenset(m) for m in tree[:2]} == {frozenset((0, 1)), frozenset((2, 3))}
+
+
+def test_gene_leaf_order_holds_every_gene_once(spark, small):
+    rows = queries_stacks.gene_leaf_order(spark, small).collect()
+    assert sorted(r["place"] for r in rows) == list(range(104)) and len({r["gene"] for r in rows}) == 104
+
+
+def test_coordinate_images(spark, tmp_path):
+    put = lambda name, v: scans.write_files(scans.tiff_files(_planes(spark, [((name, c), np.full((2, 3), v + c)) for c in range(3)]), "float32"), str(tmp_path))
+    put("roi_4/coordinates.tif", 1.5)
+    rows = scans.scan_coordinates(spark, str(tmp_path), r"roi_(\d+)/", 2).collect()
+    assert len(rows) == 24 and {(r["roi"], r["ara_x"], r["ara_z"]) for r in rows} == {(4, 1.5, 3.5)} and {(r["y"], r["x"]) for r in rows} == {(y, x) for y in range(4) for x in range(6)}
+    put("roi_5/coordinates.tif", 0.0)
+    with pytest.raises(Exception, match="all zero"):
+        scans.scan_coordinates(spark, str(tmp_path), r"roi_(\d+)/").collect()
+    put("more/roi_4/coordinates.tif", 1.0)
+    with pytest.raises(ValueError):
+        scans.scan_coordinates(spark, str(tmp_path), r"roi_(\d+)/")
+
+
+def test_command_line(spark, small, tmp_path, capsys):
+    from spotloom.__main__ import main
+
+    assert main(["list", "--part", "leaf"]) == 0 and capsys.readouterr().out == "gene_leaf_order\n"
+    assert main(["run", "topk_genes", small, str(tmp_path / "o")]) == 0 and capsys.readouterr().out == "20 rows\n"
+    assert main(["explain", "topk_genes", small]) == 0 and "Physical Plan" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["run", "nothing", small, "x"])
