@@ -2,19 +2,23 @@
 
 Five labelling functions vote on each sentence, or abstain: its words, its phrases, addresses in it (whole, hosts and steps of paths), its
 section (heading, words of the heading, kind of document) and the source. Their lexicons are fitted on a bounded sample of labelled
-documents and on the titles and scopes of the subjects. The votes of all sentences of the corpus are counted by vote pattern; on these counts EM learns, without labels, how often each function
+documents and on the titles and scopes of the subjects; those of words and phrases then once more on all sentences of the corpus, by the
+subjects found so far. The votes of all sentences of the corpus are counted by vote pattern; on these counts EM learns, without labels, how often each function
 abstains and how often it is right, for sentences of a subject and for those of none. A document's subjects are those that
 at least a share of its sentences most probably treat.
 """
 
 from __future__ import annotations
 
+import copy
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +33,10 @@ SHARE = 0.2
 #: Least labelled documents with a term, pseudo-count, least divergence of its subjects from the usual ones in documents and
 #: in sentences (as a share of the largest there can be), rounds of re-estimation, usual share of stray sentences.
 LEAST, SMOOTH, IN_DOCS, IN_SENTENCES, ROUNDS, STRAY = 2, 3.0, 0.14, 0.23, 4, 0.15
-#: Documents whose sentences are scored together.
-DOCUMENTS_AT_ONCE = 256
+#: Least divergence of a term over the documents of the corpus, and the share of them and the number in which it must occur at least.
+IN_CORPUS, CORPUS_SHARE, CORPUS_LEAST = 0.4, 1e-5, 5
+#: Documents that are read together, and rows of counts that a task holds.
+DOCUMENTS_AT_ONCE, COUNTS_AT_ONCE = 2048, 2_000_000
 FUNCTIONS = ("words", "phrases", "addresses", "section", "source")
 #: Patterns up to which their table is broadcast.
 PATTERNS = 1_000_000
@@ -128,11 +134,90 @@ def _counted(rows: list[tuple[list[str], np.ndarray]], subjects: int) -> tuple[l
     return list(index), counts, n
 
 
+@dataclass
+class Parsed:
+    """Documents in columns: sentences of each document, words of each sentence, these words, and a number per sentence."""
+
+    lengths: np.ndarray
+    sizes: np.ndarray
+    words: pa.Array
+    fixed: np.ndarray
+
+
+def _sums(sentence: np.ndarray, row: np.ndarray, odds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of odds over the different rows of each of n sentences, and which sentences have any."""
+    total, some = np.zeros((n, odds.shape[1])), np.zeros(n, bool)
+    if len(row):
+        key = np.unique(sentence * len(odds) + row)
+        sentence, row = key // len(odds), key % len(odds)
+        first = np.flatnonzero(np.r_[True, sentence[1:] != sentence[:-1]])
+        total[sentence[first]] = np.add.reduceat(odds[row], first, axis=0)
+        some[sentence[first]] = True
+    return total, some
+
+
+class Terms:
+    """Words and phrases of two lexicons as sorted arrays, so that whole columns of words are looked up at once."""
+
+    def __init__(self, words: Lexicon, phrases: Lexicon, subjects: int):
+        self.words, self.word_odds = pa.array(list(words.odds), pa.string()), np.array(list(words.odds.values())).reshape(-1, subjects)
+        pairs = [t.split(" ") for t in phrases.odds]
+        names = sorted({x for p in pairs for x in p})
+        number = {x: i for i, x in enumerate(names)}
+        keys = np.array([number[x] * len(names) + number[y] for x, y in pairs], np.int64)
+        order = np.argsort(keys)
+        self.names, self.keys, self.pair_odds = pa.array(names, pa.string()), keys[order], np.array(list(phrases.odds.values())).reshape(-1, subjects)[order]
+
+    def scores(self, parsed: Parsed) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For words and for phrases: the score of each subject in each sentence, and which sentences have a term."""
+        n, sentence = len(parsed.sizes), np.repeat(np.arange(len(parsed.sizes)), parsed.sizes)
+        coded = parsed.words.dictionary_encode()
+        at, names = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+        find = lambda known: np.asarray(pc.fill_null(pc.index_in(names, value_set=known), -1)).astype(np.int64)[at]
+        row = find(self.words)
+        out = [_sums(sentence[row >= 0], row[row >= 0], self.word_odds, n)]
+        name = find(self.names)
+        both = np.flatnonzero((sentence[1:] == sentence[:-1]) & (name[1:] >= 0) & (name[:-1] >= 0))
+        key = name[both] * len(self.names) + name[both + 1]
+        place = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+        hit = self.keys[place] == key if len(self.keys) else np.zeros(len(key), bool)
+        return [*out, _sums(sentence[both[hit]], place[hit], self.pair_odds, n)]
+
+
+def term_counts(parsed: Parsed, label: np.ndarray) -> pa.Table:
+    """kind (0: word, 1: phrase, 2: nothing but the label), term, subject, n: in how many documents a term occurs in a sentence of a label, so
+    that no long or repetitive text outweighs others. Sentences of label -1 do not count."""
+    sentence = np.repeat(np.arange(len(parsed.sizes)), parsed.sizes)
+    doc = np.repeat(np.arange(len(parsed.lengths)), parsed.lengths)
+    coded = parsed.words.dictionary_encode()
+    at, names = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+    kept = label[sentence] >= 0
+    pair = np.flatnonzero((sentence[1:] == sentence[:-1]) & kept[1:])
+    said = np.flatnonzero(label >= 0)
+    every = max(1, len(names))
+    tables = []
+    for kind, (s, term) in enumerate(((sentence[kept], at[kept]), (sentence[pair], at[pair] * every + at[pair + 1]), (said, np.zeros(len(said), np.int64)))):
+        d, k = doc[s], label[s]
+        order = np.lexsort((d, k, term))
+        term, k, d = term[order], k[order], d[order]
+        other = np.r_[True, (term[1:] != term[:-1]) | (k[1:] != k[:-1])] if len(term) else np.zeros(0, bool)
+        new = other | np.r_[True, d[1:] != d[:-1]] if len(term) else other
+        first = np.flatnonzero(other)
+        n = np.add.reduceat(new.astype(np.int64), first) if len(first) else np.empty(0, np.int64)
+        term, k = term[first], k[first]
+        if kind == 2:
+            text = pa.array([""] * len(n), pa.string())
+        else:
+            text = names.take(pa.array(term)) if kind == 0 else pc.binary_join_element_wise(names.take(pa.array(term // every)), names.take(pa.array(term % every)), " ")
+        tables.append(pa.table({"kind": pa.array(np.full(len(n), kind, np.int32)), "term": text.cast(pa.string()), "subject": pa.array(k.astype(np.int32)), "n": pa.array(n.astype(np.int64))}))
+    return pa.concat_tables(tables)
+
+
 class Labeller:
     """The labelling functions, fitted on labelled documents (text, kind, source, set of subject numbers)."""
 
     def __init__(self, docs: list[tuple[str | None, str | None, str | None, set[int]]], subjects: int):
-        self.subjects = subjects
+        self.subjects, self._terms = subjects, None
         marks = np.array([[k in s for k in range(subjects)] for *_, s in docs], float).reshape(-1, subjects)
         self.usual = (marks.sum(0) + 1) / (marks.sum() + subjects)
         share = marks / np.maximum(1, marks.sum(1, keepdims=True))
@@ -166,32 +251,62 @@ class Labeller:
             section += [f"heading {heading}", *dict.fromkeys(_NAME.findall(heading))]
         return w, p, a, section, [source] if source else []
 
+    def parse(self, docs: list[tuple[str | None, str | None, str | None]]) -> Parsed:
+        """Documents (text, kind, source) as the words of their sentences, with the votes of the functions that do not look at words."""
+        sizes, words, fixed, lengths = [], [], [], []
+        others = [(f, {t: i for i, t in enumerate(self.lexicons[name].odds)}, np.array(list(self.lexicons[name].odds.values())).reshape(-1, self.subjects)) for f, name in enumerate(FUNCTIONS) if f >= 2]
+        able = any(known for _, known, _ in others)
+        for text, kind, source in docs:
+            said = sentences(text)
+            lengths.append(len(said))
+            for s, h in said:
+                w = _NAME.findall(s)
+                sizes.append(len(w))
+                words += w
+                code = 0
+                if able:
+                    parts = self.parts(s, h, kind, source)
+                    for f, known, odds in others:
+                        hits = [r for t in parts[f] if (r := known.get(t)) is not None]
+                        code = code * (self.subjects + 1) + (int((odds[hits].sum(0) + np.log(self.usual)).argmax()) + 1 if hits else 0)
+                fixed.append(code)
+        return Parsed(np.array(lengths, np.int64), np.array(sizes, np.int64), pa.array(words, pa.string()), np.array(fixed, np.int64))
+
+    def codes(self, parsed: Parsed) -> np.ndarray:
+        """A number per sentence: the votes as digits to the base subjects + 1, 0 for an abstention."""
+        code = np.zeros(len(parsed.sizes), np.int64)
+        for score, some in self.terms().scores(parsed):
+            code = code * (self.subjects + 1) + np.where(some, (score + np.log(self.usual)).argmax(1) + 1, 0)
+        return code * (self.subjects + 1) ** (len(FUNCTIONS) - 2) + parsed.fixed
+
+    def terms(self) -> Terms:
+        if self._terms is None:
+            self._terms = Terms(self.lexicons["words"], self.lexicons["phrases"], self.subjects)
+        return self._terms
+
     def votes(self, docs: list[tuple[str | None, str | None, str | None]]) -> list[np.ndarray]:
-        """For each document (text, kind, source) a number per sentence: the votes as digits to the base subjects + 1, 0 for an
-        abstention."""
-        rows = [{t: i for i, t in enumerate(self.lexicons[f].odds)} for f in FUNCTIONS]
-        odds = [np.array(list(self.lexicons[f].odds.values())).reshape(-1, self.subjects) for f in FUNCTIONS]
-        out: list[np.ndarray] = []
-        for first in range(0, len(docs), DOCUMENTS_AT_ONCE):
-            hits, counts, sizes = [[] for _ in FUNCTIONS], [[] for _ in FUNCTIONS], []
-            for text, kind, source in docs[first : first + DOCUMENTS_AT_ONCE]:
-                said = sentences(text)
-                sizes.append(len(said))
-                for s, h in said:
-                    for known, terms, at, n in zip(rows, self.parts(s, h, kind, source), hits, counts, strict=True):
-                        found = [r for t in terms if (r := known.get(t)) is not None] if known else ()
-                        at += found
-                        n.append(len(found))
-            code = np.zeros(sum(sizes), np.int64)
-            for table, at, n in zip(odds, hits, counts, strict=True):
-                held = np.array(n, np.int64)
-                some = held > 0
-                vote = np.zeros(len(held), np.int64)
-                if some.any():
-                    score = np.add.reduceat(table[at], (np.cumsum(held) - held)[some], axis=0)
-                    vote[some] = (score + np.log(self.usual)).argmax(1) + 1
-                code = code * (self.subjects + 1) + vote
-            out += np.split(code, np.cumsum(sizes)[:-1])
+        """The codes of each document."""
+        parsed = self.parse(docs)
+        return np.split(self.codes(parsed), np.cumsum(parsed.lengths)[:-1])
+
+    def taught(self, told: list[tuple[int, str, list[tuple[int, int]]]], usual: np.ndarray) -> Labeller:
+        """A labeller whose words and phrases have new lexicons, from counts of documents: (0 for a word or 1, term, [(subject, n), ...]).
+        Terms that are not among them stay as they are."""
+        out = copy.copy(self)
+        out.usual, out._terms, out.lexicons = usual, None, dict(self.lexicons)
+        for f in (0, 1):
+            terms = [(t, c) for k, t, c in told if k == f]
+            counts = np.zeros((len(terms), self.subjects))
+            for i, (_, c) in enumerate(terms):
+                for k, n in c:
+                    counts[i, k] = n
+            old, new = self.lexicons[FUNCTIONS[f]].odds, Lexicon()
+            new.fit([t for t, _ in terms], counts, usual, 0.0)
+            d = Lexicon.told(counts, usual)[1]
+            new.odds = {t: new.odds[t] for (t, _), x in zip(terms, d, strict=True) if x > (IN_SENTENCES if t in old else IN_CORPUS)}
+            seen = {t for t, _ in terms}
+            new.odds |= {t: v for t, v in old.items() if t not in seen}
+            out.lexicons[FUNCTIONS[f]] = new
         return out
 
 
@@ -248,9 +363,15 @@ def latent_model(votes: np.ndarray, weight: np.ndarray, subjects: int, rounds: i
     return np.concatenate([posterior(votes[part]).argmax(1) for part in blocks]) if blocks else np.zeros(0, int)
 
 
+def singular(word: str) -> str:
+    """An English word without the ending of its plural."""
+    return f"{word[:-3]}y" if word.endswith("ies") else word[:-1] if word.endswith("s") and not word.endswith("ss") else word
+
+
 def described(*texts: str | None) -> str:
-    """The title and scope of a subject as a text of sentences."""
-    return "\n".join(f"{t.strip().rstrip('.')}." for t in texts if t and t.strip())
+    """The title and scope of a subject as a text of sentences, and once more its words in the singular."""
+    said = [f"{t.strip().rstrip('.')}." for t in texts if t and t.strip()]
+    return "\n".join([*said, *(f"{' '.join(map(singular, _NAME.findall(t.lower())))}." for t in said)])
 
 
 def subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, scratch: Scratch, share: float = SHARE, labelled: int = LABELLED) -> DataFrame:
@@ -274,19 +395,101 @@ def subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, scratch: Scra
     if told:
         told += [(described(*r[1:]), None, None, {number[r[0]]}) for r in texts] * LEAST
     labeller = Labeller(told, max(1, len(codes)))
-
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = labeller.votes(list(zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "votes"])
-
     kind = docs.schema["doc_id"].dataType.simpleString()
-    voted = scratch.save(docs.where("doc_id is not null").select("doc_id", "text", "kind", "source").mapInArrow(vote, f"doc_id {kind}, votes array<bigint>"))
-    # at most (subjects + 1)^5 patterns, whatever the corpus
-    patterns = voted.select(F.explode("votes").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n")).orderBy("code").collect()
-    code, n = np.array([r["code"] for r in patterns], np.int64), np.array([r["n"] for r in patterns], float)
-    best = latent_model(decode(code, len(codes)), n, len(codes)) if len(code) and codes else np.zeros(len(code), int)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, DOCUMENTS_AT_ONCE):
+                b = whole.slice(first, DOCUMENTS_AT_ONCE)
+                p = labeller.parse(list(zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)))
+                ends = np.r_[0, np.cumsum(p.lengths)]
+                listed = lambda v, ends=ends: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v))
+                words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(p.sizes)][ends], pa.int32()), p.words)
+                yield pa.RecordBatch.from_arrays([b.column(0), listed(p.sizes.astype(np.int32)), words, listed(p.fixed), listed(labeller.codes(p))], names=["doc_id", "sizes", "words", "fixed", "votes"])
+
+    parsed = scratch.save(docs.where("doc_id is not null").select("doc_id", "text", "kind", "source").mapInArrow(read, f"doc_id {kind}, sizes array<int>, words array<string>, fixed array<bigint>, votes array<bigint>"))
+    code, n, best = _classes(parsed, len(codes))
+    labeller, parsed = _from_corpus(parsed, labeller, code, n, best, scratch)
+    code, n, best = _classes(parsed, len(codes))
     table = docs.sparkSession.createDataFrame([(int(c), codes[k - 1]) for c, k in zip(code, best, strict=True) if k], "code bigint, subject_code string")
-    told = voted.select("doc_id", F.size("votes").alias("n"), F.explode("votes").alias("code")).join(F.broadcast(table) if len(code) <= PATTERNS else table, "code")
+    told = parsed.select("doc_id", F.size("votes").alias("n"), F.explode("votes").alias("code")).join(F.broadcast(table) if len(code) <= PATTERNS else table, "code")
     shares = told.groupBy("doc_id", "subject_code", "n").agg((F.count(F.lit(1)) / F.col("n")).alias("share"))
     return shares.where(F.col("share") >= share - 1e-9).select("doc_id", "subject_code", "share")
+
+
+def _classes(voted: DataFrame, subjects: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vote patterns in ascending order, how many sentences show each, and its most probable class."""
+    patterns = voted.select(F.explode("votes").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n")).orderBy("code").collect()
+    code, n = np.array([r["code"] for r in patterns], np.int64), np.array([r["n"] for r in patterns], float)
+    return code, n, latent_model(decode(code, subjects), n, subjects) if len(code) and subjects else np.zeros(len(code), int)
+
+
+def _column(b: pa.RecordBatch) -> Parsed:
+    sizes = b.column("sizes")
+    return Parsed(np.asarray(sizes.value_lengths()).astype(np.int64), np.asarray(sizes.flatten()).astype(np.int64), b.column("words").flatten(), np.asarray(b.column("fixed").flatten()))
+
+
+def _from_corpus(parsed: DataFrame, labeller: Labeller, code: np.ndarray, n: np.ndarray, best: np.ndarray, scratch: Scratch) -> tuple[Labeller, DataFrame]:
+    """The labeller with lexicons from all sentences of the corpus, and the table with its votes.
+
+    Each sentence gets the subject that its terms and the subjects of its document (the classes of its sentences' votes) make most
+    probable; sentences of documents without any do not count. In how many documents a term occurs in sentences of each subject is counted over
+    the whole corpus, and terms that are telling and not too rare make the new lexicons: at most the terms of a document / CORPUS_SHARE.
+    """
+    subjects = labeller.subjects
+    if not len(code) or not best.any():
+        return labeller, parsed
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def merged() -> list[pa.RecordBatch]:
+            t = pa.concat_tables(held).group_by(["kind", "term", "subject"]).aggregate([("n", "sum")])
+            return t.select(["kind", "term", "subject", "n_sum"]).rename_columns(["kind", "term", "subject", "n"]).combine_chunks().to_batches()
+
+        for whole in batches:
+            for first in range(0, whole.num_rows, DOCUMENTS_AT_ONCE):
+                b = whole.slice(first, DOCUMENTS_AT_ONCE)
+                p = _column(b)
+                doc = np.repeat(np.arange(len(p.lengths)), p.lengths)
+                of = best[np.searchsorted(code, np.asarray(b.column("votes").flatten()))]
+                share = np.zeros((len(p.lengths), subjects))
+                np.add.at(share, (doc[of > 0], of[of > 0] - 1), 1)
+                some = share.sum(1) > 0
+                share = share / np.maximum(1, share.sum(1, keepdims=True))
+                score = np.log(STRAY * labeller.usual + (1 - STRAY) * share)[doc] + sum(x for x, _ in labeller.terms().scores(p))
+                held.append(term_counts(p, np.where(some[doc], score.argmax(1), -1)))
+                if sum(t.num_rows for t in held) > COUNTS_AT_ONCE:
+                    yield from merged()
+                    held = []
+        if held:
+            yield from merged()
+
+    counts = parsed.select("sizes", "words", "fixed", "votes").mapInArrow(counted, "kind int, term string, subject int, n bigint").groupBy("kind", "term", "subject").agg(F.sum("n").alias("n"))
+    counts = scratch.save(counts)
+    classes = np.zeros(subjects)
+    for r in counts.where("kind = 2").collect():
+        classes[r["subject"]] = r["n"]
+    usual = ((classes + 1) / (classes.sum() + subjects) + labeller.usual) / 2  # a subject that is not found yet keeps its share of the labels
+    terms = counts.where("kind < 2").groupBy("kind", "term").agg(F.sum("n").alias("n"), F.collect_list(F.struct("subject", "n")).alias("by"))  # a list holds each subject once
+    u, all_ = F.array(*(F.lit(float(x)) for x in usual)), F.col("n") + SMOOTH
+    part = lambda c: (F.get(u, c["subject"]) * SMOOTH + c["n"]) / all_
+    none = lambda c: F.get(u, c["subject"]) * SMOOTH / all_
+    gain = F.aggregate("by", F.lit(0.0), lambda s, c: s + part(c) * F.ln(part(c) / F.get(u, c["subject"])) - none(c) * F.ln(SMOOTH / all_))
+    divergence = (gain + SMOOTH / all_ * F.ln(SMOOTH / all_)) / float(np.log(max(2, subjects)))
+    old = [(f, t) for f in (0, 1) for t in labeller.lexicons[FUNCTIONS[f]].odds]  # as many as a bounded sample has
+    old = parsed.sparkSession.createDataFrame(old, "kind int, term string").withColumn("old", F.lit(True))
+    terms = terms.where(F.col("n") >= max(CORPUS_LEAST, CORPUS_SHARE * classes.sum())).withColumn("telling", divergence > IN_CORPUS - 1e-9)
+    telling = terms.join(F.broadcast(old), ["kind", "term"], "left").where("telling or old").orderBy("kind", "term").collect()
+    taught = labeller.taught([(r["kind"], r["term"], [(c["subject"], c["n"]) for c in r["by"]]) for r in telling], usual)
+
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, DOCUMENTS_AT_ONCE):
+                b = whole.slice(first, DOCUMENTS_AT_ONCE)
+                p = _column(b)
+                votes = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(p.lengths)], pa.int32()), pa.array(taught.codes(p)))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), votes], names=["doc_id", "votes"])
+
+    kind = parsed.schema["doc_id"].dataType.simpleString()
+    return taught, scratch.save(parsed.select("doc_id", "sizes", "words", "fixed").mapInArrow(voted, f"doc_id {kind}, votes array<bigint>"))

@@ -4,6 +4,7 @@ import random
 import shutil
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from spotloom.llm import clusters, leaks, subjects
@@ -398,3 +399,13 @@ def test_sentences():
     text = "## Head\n1. First one is here. Second, at 2.5 mm, too!\n10:20:30 WARN Could you look at it? The one here broke.\nThanks\nx\t3 a b.\nQ: is it so? A: it is not.\n"
     assert [s for s, _ in subjects.sentences(text)] == ["first one is here.", "second, at 2.5 mm, too!", "could you look at it? the one here broke.", "q: is it so? a: it is not."]
     assert subjects.sentences(None) == [] and {h for _, h in subjects.sentences(text)} == {"head"}
+
+
+def test_terms_are_counted_once_per_document_and_label():
+    parsed = subjects.Parsed(np.array([3, 1, 0]), np.array([3, 2, 3, 2]), pa.array(["a", "b", "a", "a", "b", "b", "c", "b", "a", "b"]), np.zeros(4, np.int64))
+    label = np.array([1, 1, 0, -1])
+    got = {(r["kind"], r["term"], r["subject"]): r["n"] for r in subjects.term_counts(parsed, label).to_pylist()}
+    words = {(0, "a", 1): 1, (0, "b", 1): 1, (0, "b", 0): 1, (0, "c", 0): 1}
+    phrases = {(1, "a b", 1): 1, (1, "b a", 1): 1, (1, "b c", 0): 1, (1, "c b", 0): 1}
+    assert got == words | phrases | {(2, "", 1): 1, (2, "", 0): 1}
+    assert subjects.term_counts(subjects.Parsed(np.array([0]), np.empty(0, np.int64), pa.array([], pa.string()), np.empty(0, np.int64)), np.empty(0, np.int64)).num_rows == 0
