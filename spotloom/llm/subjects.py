@@ -50,6 +50,8 @@ _CLOSING = "\"'»”)" + "".join(chr(c) for c in range(0x3001) if chr(c).isspace
 _ANSWER = regex.compile(r"^(?:a:|the ones? )")
 _NAME = re.compile(r"[^\W\d_]+")
 _ENDS = frozenset(".?!…")
+#: Bytes of plain sentences that stand in words; all others become blanks.
+_LETTERS = bytes(b if chr(b).isalpha() and b < 128 else 32 for b in range(256))
 _TWO_NAMES = re.compile(r"[^\W\d_][\W\d_]+[^\W\d_]")
 _ADDRESS = regex.compile(r"(?:https?://|www\.)[^\s/]+|[\w.+-]+@[\w-]+\.[\w.-]+|(?:/[\w.-]+){2,}")
 
@@ -90,11 +92,14 @@ def address_parts(address: str) -> list[str]:
     return [address, *(f"@{'.'.join(host[k:])}" for k in range(len(host) - 1)), *(f"/{step}" for step in path.split("/") if step)]
 
 
-def features(sentence: str) -> tuple[list[str], list[str], list[str]]:
-    """Words, phrases of two words, addresses."""
-    w = _NAME.findall(sentence)
+def addresses(sentence: str) -> list[str]:
     found = _ADDRESS.findall(sentence) if "/" in sentence or "@" in sentence or "www." in sentence else []
-    return list(dict.fromkeys(w)), list(dict.fromkeys(f"{a} {b}" for a, b in pairwise(w))), list(dict.fromkeys(p for a in found for p in address_parts(a)))
+    return list(dict.fromkeys(p for a in found for p in address_parts(a)))
+
+
+def section(heading: str, kind: str | None) -> list[str]:
+    out = [f"kind {kind}"] if kind else []
+    return [*out, f"heading {heading}", *dict.fromkeys(_NAME.findall(heading))] if heading else out
 
 
 class Lexicon:
@@ -245,31 +250,33 @@ class Labeller:
 
     @staticmethod
     def parts(sentence: str, heading: str, kind: str | None, source: str | None) -> tuple[list[str], ...]:
-        w, p, a = features(sentence)
-        section = [f"kind {kind}"] if kind else []
-        if heading:
-            section += [f"heading {heading}", *dict.fromkeys(_NAME.findall(heading))]
-        return w, p, a, section, [source] if source else []
+        """What each function looks at: words, phrases of two words, addresses, section, source."""
+        w = _NAME.findall(sentence)
+        return list(dict.fromkeys(w)), list(dict.fromkeys(f"{a} {b}" for a, b in pairwise(w))), addresses(sentence), section(heading, kind), [source] if source else []
 
     def parse(self, docs: list[tuple[str | None, str | None, str | None]]) -> Parsed:
         """Documents (text, kind, source) as the words of their sentences, with the votes of the functions that do not look at words."""
         sizes, words, fixed, lengths = [], [], [], []
-        others = [(f, {t: i for i, t in enumerate(self.lexicons[name].odds)}, np.array(list(self.lexicons[name].odds.values())).reshape(-1, self.subjects)) for f, name in enumerate(FUNCTIONS) if f >= 2]
-        able = any(known for _, known, _ in others)
+        base = self.subjects + 1
+
+        def vote(name: str, terms: list[str]) -> int:
+            score = self.lexicons[name].score(terms)
+            return 0 if score is None else int((score + np.log(self.usual)).argmax()) + 1
+
+        able = [bool(self.lexicons[f].odds) for f in FUNCTIONS]
         for text, kind, source in docs:
+            from_source = vote("source", [source]) if source and able[4] else 0
+            headings: dict[str, int] = {}
             said = sentences(text)
             lengths.append(len(said))
             for s, h in said:
-                w = _NAME.findall(s)
+                w = s.encode().translate(_LETTERS).decode().split() if s.isascii() else _NAME.findall(s)
                 sizes.append(len(w))
                 words += w
-                code = 0
-                if able:
-                    parts = self.parts(s, h, kind, source)
-                    for f, known, odds in others:
-                        hits = [r for t in parts[f] if (r := known.get(t)) is not None]
-                        code = code * (self.subjects + 1) + (int((odds[hits].sum(0) + np.log(self.usual)).argmax()) + 1 if hits else 0)
-                fixed.append(code)
+                if able[3] and h not in headings:
+                    headings[h] = vote("section", section(h, kind))
+                address = vote("addresses", addresses(s)) if able[2] else 0
+                fixed.append((address * base + headings.get(h, 0)) * base + from_source)
         return Parsed(np.array(lengths, np.int64), np.array(sizes, np.int64), pa.array(words, pa.string()), np.array(fixed, np.int64))
 
     def codes(self, parsed: Parsed) -> np.ndarray:
