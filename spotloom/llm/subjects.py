@@ -141,12 +141,14 @@ def _counted(rows: list[tuple[list[str], np.ndarray]], subjects: int) -> tuple[l
 
 @dataclass
 class Parsed:
-    """Documents in columns: sentences of each document, words of each sentence, these words, and a number per sentence."""
+    """Documents in columns: sentences of each document, words of each sentence, these words, and a number per sentence. Words are kept
+    as one text per document, which is cheaper to store than a list."""
 
     lengths: np.ndarray
     sizes: np.ndarray
     words: pa.Array
     fixed: np.ndarray
+    texts: pa.Array | None = None
 
 
 def _sums(sentence: np.ndarray, row: np.ndarray, odds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -233,20 +235,29 @@ class Labeller:
             keep = np.flatnonzero(n >= LEAST)
             self.lexicons[name].fit([names[i] for i in keep], counts[keep], self.usual, IN_DOCS)
         # sentences of a labelled document mostly treat its labels: sharpen the words and phrases sentence by sentence
-        known = [set(lex.odds) for lex in self.lexicons.values()]
-        rows = [([[t for t in p[f] if t in known[f]] for f in (0, 1)], STRAY * self.usual + (1 - STRAY) * v) for ps, v in zip(parts, share, strict=True) for p in ps]
+        every = [p for ps in parts for p in ps]
+        prior = np.log(STRAY * self.usual + (1 - STRAY) * np.repeat(share, [len(ps) for ps in parts], axis=0)).reshape(-1, subjects)
+        known = [list(self.lexicons[f].odds) for f in FUNCTIONS[:2]]
+        met = []  # which known terms stand in which sentences
+        for f in (0, 1):
+            number = {t: i for i, t in enumerate(known[f])}
+            met.append(np.array([(r, i) for r, p in enumerate(every) for t in p[f] if (i := number.get(t)) is not None], np.int64).reshape(-1, 2))
         for _ in range(ROUNDS):
-            sure = []
-            for terms, prior in rows:
-                scores = [s for f in (0, 1) if (s := self.lexicons[FUNCTIONS[f]].score(terms[f])) is not None]
-                if scores:
-                    x = np.sum(scores, axis=0) + np.log(prior)
-                    x = np.exp(x - x.max())
-                    sure.append((terms, x / x.sum()))
+            score, some = prior.copy(), np.zeros(len(every), bool)
+            for f in (0, 1):
+                odds = self.lexicons[FUNCTIONS[f]].odds
+                table = np.array([odds.get(t, np.zeros(subjects)) for t in known[f]]).reshape(-1, subjects)
+                told = np.array([t in odds for t in known[f]], bool)
+                np.add.at(score, met[f][:, 0], table[met[f][:, 1]])
+                some[met[f][told[met[f][:, 1]], 0]] = True
+            x = np.exp(score - score.max(1, keepdims=True)) if len(score) else score
+            x /= x.sum(1, keepdims=True)
             for f in (0, 1):
-                names, counts, n = _counted([(t[f], v) for t, v in sure], subjects)
+                row, term = met[f][some[met[f][:, 0]]].T
+                counts, n = np.zeros((len(known[f]), subjects)), np.bincount(term, minlength=len(known[f]))
+                np.add.at(counts, term, x[row])
                 keep = np.flatnonzero(n >= LEAST)
-                self.lexicons[FUNCTIONS[f]].fit([names[i] for i in keep], counts[keep], self.usual, IN_SENTENCES)
+                self.lexicons[FUNCTIONS[f]].fit([known[f][i] for i in keep], counts[keep], self.usual, IN_SENTENCES)
 
     @staticmethod
     def parts(sentence: str, heading: str, kind: str | None, source: str | None) -> tuple[list[str], ...]:
@@ -256,7 +267,7 @@ class Labeller:
 
     def parse(self, docs: list[tuple[str | None, str | None, str | None]]) -> Parsed:
         """Documents (text, kind, source) as the words of their sentences, with the votes of the functions that do not look at words."""
-        sizes, words, fixed, lengths = [], [], [], []
+        sizes, texts, fixed, lengths = [], [], [], []
         base = self.subjects + 1
 
         def vote(name: str, terms: list[str]) -> int:
@@ -267,6 +278,7 @@ class Labeller:
         for text, kind, source in docs:
             from_source = vote("source", [source]) if source and able[4] else 0
             headings: dict[str, int] = {}
+            words: list[str] = []
             said = sentences(text)
             lengths.append(len(said))
             for s, h in said:
@@ -277,7 +289,9 @@ class Labeller:
                     headings[h] = vote("section", section(h, kind))
                 address = vote("addresses", addresses(s)) if able[2] else 0
                 fixed.append((address * base + headings.get(h, 0)) * base + from_source)
-        return Parsed(np.array(lengths, np.int64), np.array(sizes, np.int64), pa.array(words, pa.string()), np.array(fixed, np.int64))
+            texts.append(" ".join(words) or None)
+        column = pa.array(texts, pa.string())
+        return Parsed(np.array(lengths, np.int64), np.array(sizes, np.int64), pc.split_pattern(column, " ").flatten(), np.array(fixed, np.int64), column)
 
     def codes(self, parsed: Parsed) -> np.ndarray:
         """A number per sentence: the votes as digits to the base subjects + 1, 0 for an abstention."""
@@ -411,10 +425,9 @@ def subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, scratch: Scra
                 p = labeller.parse(list(zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)))
                 ends = np.r_[0, np.cumsum(p.lengths)]
                 listed = lambda v, ends=ends: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v))
-                words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(p.sizes)][ends], pa.int32()), p.words)
-                yield pa.RecordBatch.from_arrays([b.column(0), listed(p.sizes.astype(np.int32)), words, listed(p.fixed), listed(labeller.codes(p))], names=["doc_id", "sizes", "words", "fixed", "votes"])
+                yield pa.RecordBatch.from_arrays([b.column(0), listed(p.sizes.astype(np.int32)), p.texts, listed(p.fixed), listed(labeller.codes(p))], names=["doc_id", "sizes", "words", "fixed", "votes"])
 
-    parsed = scratch.save(docs.where("doc_id is not null").select("doc_id", "text", "kind", "source").mapInArrow(read, f"doc_id {kind}, sizes array<int>, words array<string>, fixed array<bigint>, votes array<bigint>"))
+    parsed = scratch.save(docs.where("doc_id is not null").select("doc_id", "text", "kind", "source").mapInArrow(read, f"doc_id {kind}, sizes array<int>, words string, fixed array<bigint>, votes array<bigint>"))
     code, n, best = _classes(parsed, len(codes))
     labeller, parsed = _from_corpus(parsed, labeller, code, n, best, scratch)
     code, n, best = _classes(parsed, len(codes))
@@ -433,7 +446,7 @@ def _classes(voted: DataFrame, subjects: int) -> tuple[np.ndarray, np.ndarray, n
 
 def _column(b: pa.RecordBatch) -> Parsed:
     sizes = b.column("sizes")
-    return Parsed(np.asarray(sizes.value_lengths()).astype(np.int64), np.asarray(sizes.flatten()).astype(np.int64), b.column("words").flatten(), np.asarray(b.column("fixed").flatten()))
+    return Parsed(np.asarray(sizes.value_lengths()).astype(np.int64), np.asarray(sizes.flatten()).astype(np.int64), pc.split_pattern(b.column("words"), " ").flatten(), np.asarray(b.column("fixed").flatten()))
 
 
 def _from_corpus(parsed: DataFrame, labeller: Labeller, code: np.ndarray, n: np.ndarray, best: np.ndarray, scratch: Scratch) -> tuple[Labeller, DataFrame]:
