@@ -88,8 +88,10 @@ def tile_overlaps(origins: DataFrame, size: float) -> DataFrame:
 def home_tile_only(spots: DataFrame, origins: DataFrame, reach: int = 2) -> DataFrame:
     """Spots whose own tile's centre is strictly nearer than any other: one copy of what overlapping tiles both saw.
 
-    On a grid only tiles up to `reach` steps away can be nearer, so a spot meets (2 reach + 1)^2 centres and never all.
-    Spots halfway between two tiles are dropped on both sides; in a roi of one tile all stay.
+    On a grid only tiles up to `reach` steps away can be nearer, so a spot meets (2 reach + 1)^2 centres and never all. That holds while
+    spots lie inside their tile and tiles overlap by less than half of their side: then no tile further away reaches the spot.
+    Spots halfway between two tiles are dropped on both sides; in a roi of one tile all stay. Spots of a tile without an origin have
+    no home and go.
     """
     c = origins.select("roi", "tx", "ty", "centre_y", "centre_x")
     around = [(dx, dy) for dx in range(-reach, reach + 1) for dy in range(-reach, reach + 1) if (dx, dy) != (0, 0)]
