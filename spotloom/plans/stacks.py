@@ -259,9 +259,9 @@ def flat_field_fit(spark: SparkSession, folder: str) -> DataFrame:
 def atlas_coordinates(spark: SparkSession, folder: str) -> DataFrame:
     """Spots at their place in the coordinate image of their roi, read from a file; spots beyond the image have none."""
     scratch = Scratch(spark, "atlas")
-    grid = spark.range(ATLAS * ATLAS).select(F.floor(F.col("id") / ATLAS).cast("int").alias("y"), (F.col("id") % ATLAS).cast("int").alias("x"))
+    side = F.explode(F.sequence(F.lit(0), F.lit(ATLAS - 1)))
     page = F.posexplode(F.array(F.col("x") / 16 + 1, F.col("y") / 16 + 1, F.col("roi") / 1.0)).alias("page", "v")
-    px = table(spark, folder, "cells").select("roi").distinct().join(grid).select("roi", "y", "x", page)
+    px = table(spark, folder, "cells").select("roi").distinct().withColumn("y", side).withColumn("x", side).select("roi", "y", "x", page)
     pages = kernels.planes_from_pixels(px, ["roi", "page"], ATLAS, ATLAS).withColumn("name", F.format_string("roi_%d/coordinates.tif", "roi"))
     scans.write_files(scans.tiff_files(pages, "float32"), scratch.at)
     image = scans.scan_coordinates(spark, scratch.at, "roi_(\\d+)/")
