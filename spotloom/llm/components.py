@@ -20,7 +20,7 @@ from spotloom.operators.skew import skew_join
 from spotloom.session import Scratch
 
 #: Vertices of more than 1 / HUBS of a round's edges are joined by broadcast: there are at most 2 x HUBS of them.
-HUBS = 100
+HUBS, LEAST_HUB = 100, 1000
 
 
 def _order(v: Column, turn: int, mask: int) -> Column:
@@ -37,8 +37,10 @@ def _clean(edges: DataFrame) -> DataFrame:
 
 
 def _hubs(hooks: DataFrame, edges: int) -> list[int]:
-    """Vertices with more than 1 / HUBS of all edges: bounded, as degrees add up to twice the edges."""
-    return [r["u"] for r in hooks.where(F.col("degree") > max(1000, edges // HUBS)).select("u").collect()]
+    """Vertices with more than 1 / HUBS of all edges, and a thousand at least: bounded, as degrees add up to twice the edges."""
+    if edges <= LEAST_HUB:
+        return []  # no vertex has more edges than there are
+    return [r["u"] for r in hooks.where(F.col("degree") > max(LEAST_HUB, edges // HUBS)).select("u").collect()]
 
 
 def components(edges: DataFrame, scratch: Scratch, seed: int = 7) -> DataFrame:
@@ -100,5 +102,5 @@ def groups(links: DataFrame, a: str, b: str, scratch: Scratch) -> DataFrame:
     named = scratch.save(roots.join(values, "u").select("root", "name"))
     firsts = scratch.save(named.groupBy("root").agg(F.min("name").alias("first"), F.count(F.lit(1)).alias("size")))
     scratch.keep(named, firsts)
-    large = [r["root"] for r in firsts.where(F.col("size") > max(1000, total // HUBS)).select("root").collect()]
+    large = [r["root"] for r in firsts.where(F.col("size") > max(LEAST_HUB, total // HUBS)).select("root").collect()]
     return skew_join(named, firsts, "root", large).select(F.col("name").alias("member"), "first", "size")
